@@ -123,7 +123,7 @@ def cohort_mix(loans: DataFrame) -> DataFrame:
     """Vintage by exit type, counts and row percentages, empty cells 0."""
     names = ["Prepaid", "Defaulted", "Censored"]
     wide = (loans.withColumn("event", L.event_name()).groupBy("VintageYear")
-            .pivot("event", names).agg(F.count("*")).fillna(0, names))
+            .pivot("event", names).agg(F.count(F.lit(1))).fillna(0, names))
     total = F.col("Prepaid") + F.col("Defaulted") + F.col("Censored")
     return wide.select(
         "VintageYear", *[F.col(n).alias(f"n_{n.lower()}") for n in names],

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import catalog_curves, catalog_prep  # noqa: F401
+from . import catalog_curves, catalog_models, catalog_panel, catalog_prep  # noqa: F401
 from .registry import CATALOG
 
 __all__ = ["CATALOG"]

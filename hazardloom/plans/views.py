@@ -193,7 +193,7 @@ CTES: dict[str, tuple[list[str], str]] = {
                 + ((FirstPaymentDate // 100) * 12 + FirstPaymentDate % 100 - 1 + age) % 12 + 1 as int) as ym
               from surv, unnest(range(0, Duration)) as u(age)) x left join macro m on x.ym = m.yyyymm"""),
     "hpi": (["panel"], """select *, exp(sum(ln(1 + coalesce(hpi_yoy, 0) / 1200e0)) over (partition by loan_id order by loan_age)) as hpi_cumul from panel"""),
-    "feat": (["hpi"], """select *, least(greatest(LTV * least(greatest((pow(1 + rm, 360) - pow(1 + rm, loan_age)) / (pow(1 + rm, 360) - 1), 0), 1) / hpi_cumul, 0), 200) as ELTV,
+    "feat": (["hpi"], """select *, case when LTV is not null then least(greatest(LTV * least(greatest((pow(1 + rm, 360) - pow(1 + rm, loan_age)) / (pow(1 + rm, 360) - 1), 0), 1) / hpi_cumul, 0), 200) end as ELTV,
         case when loan_purpose = 'P' then 1e0 else 0e0 end as LP_Purchase, case when loan_purpose = 'N' then 1e0 else 0e0 end as LP_NoCashRefi,
         case when occupancy = 'I' then 1e0 else 0e0 end as Occ_Investment, case when occupancy = 'S' then 1e0 else 0e0 end as Occ_SecondHome
         from (select *, greatest(orig_rate / 1200e0, 1e-6) as rm from hpi)"""),

@@ -120,9 +120,14 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
     """
     covariates, names = list(covariates), list(events)
     keep = [time, *dict.fromkeys(events.values()), *covariates, *[c for c in (start, weight, competing) if c]]
-    rows = df.select(*dict.fromkeys(keep)).dropna(subset=[time, *covariates])
+    rows = df.select(*dict.fromkeys(keep))
     if staged:
         rows = stage(rows)  # every iteration reads it; only beta changes between plans
+    # after the lineage cut: a null filter over many derived columns makes constraint
+    # inference explode when it sits on top of their projection
+    rows = rows.dropna(subset=[time, *covariates])
+    if validation is not None:
+        validation = stage(validation.select(*dict.fromkeys(keep))).dropna(subset=[time, *covariates])
     n, n_ev, mean, scale = _fit_space(rows, covariates, time, list(events.values()), weight)
     ridge = penalizer * n * (np.ones(len(covariates)) if penalty_scale == "standardised" else 1.0 / scale ** 2)
     beta = {m: np.zeros(len(covariates)) for m in names}
@@ -180,7 +185,7 @@ def fit(df: DataFrame, covariates: Sequence[str], *, time: str = "Duration",
         event: str = "Event_Prepay", label: str = "cox", with_concordance: bool = False, **kw) -> CoxFit:
     """Single-event Cox fit over all rows."""
     keep = list(dict.fromkeys([time, event, *covariates, *[kw[c] for c in ("start", "weight", "competing") if kw.get(c)]]))
-    rows = stage(df.select(*keep).dropna(subset=[time, *covariates])) if with_concordance else df
+    rows = stage(df.select(*keep)).dropna(subset=[time, *covariates]) if with_concordance else df
     model = fit_many(rows, covariates, time=time, events={label: event},
                      staged=not with_concordance, **kw)[label]
     if with_concordance:

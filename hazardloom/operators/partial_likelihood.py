@@ -152,7 +152,7 @@ def _arrow_sums(df, covariates, models, time, start, weight, competing, center,
     if competing:
         cols.append(F.col(competing).cast("int").alias("c"))
     p, betas = len(covariates), [np.asarray(m.beta, float) for m in models]
-    lay, iu = Layout(p), np.triu_indices(p)
+    width, size, iu = Layout(p).block, Layout(p).size, np.triu_indices(p)
     has_start, has_weight, has_comp = start is not None, weight is not None, competing is not None
 
     def add(acc, k, keys, block, offset, sign=1.0):
@@ -161,7 +161,7 @@ def _arrow_sums(df, covariates, models, time, start, weight, competing, center,
         first = np.flatnonzero(np.r_[True, ks[1:] != ks[:-1]])
         part = np.add.reduceat(block[order], first, axis=0)
         for key, row in zip(ks[first], part):
-            slot = acc.setdefault((k, int(key)), np.zeros(lay.size))
+            slot = acc.setdefault((k, int(key)), np.zeros(size))
             slot[offset:offset + block.shape[1]] += sign * row
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,13 +182,13 @@ def _arrow_sums(df, covariates, models, time, start, weight, competing, center,
                     add(acc, k, get("t0"), block, 0, -1.0)
                 on = np.flatnonzero(get(f"e{k}") == 1)
                 if len(on):
-                    add(acc, k, t[on], block[on], lay.block)
+                    add(acc, k, t[on], block[on], width)
                     tail = np.column_stack([w[on], np.ones(len(on)), x[on] * w[on, None]])
-                    add(acc, k, t[on], tail, 3 * lay.block)
+                    add(acc, k, t[on], tail, 3 * width)
                 if has_comp:
                     other = np.flatnonzero(get("c") == 1)
                     if len(other):
-                        add(acc, k, t[other], block[other], 2 * lay.block)
+                        add(acc, k, t[other], block[other], 2 * width)
         yield from emit(acc)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,9 +197,9 @@ def _arrow_sums(df, covariates, models, time, start, weight, competing, center,
             if b.num_rows == 0:
                 continue
             ks, ts = b.column("k").to_numpy(), b.column("t").to_numpy()
-            flat = np.asarray(b.column("s").flatten()).reshape(b.num_rows, lay.size)
+            flat = np.asarray(b.column("s").flatten()).reshape(b.num_rows, size)
             for k, t, row in zip(ks, ts, flat):
-                slot = acc.setdefault((int(k), int(t)), np.zeros(lay.size))
+                slot = acc.setdefault((int(k), int(t)), np.zeros(size))
                 slot += row
         yield from emit(acc)
 

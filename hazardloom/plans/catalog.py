@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from . import catalog_curves, catalog_models, catalog_panel, catalog_prep  # noqa: F401
+from . import (  # noqa: F401
+    catalog_curves, catalog_learning, catalog_metrics, catalog_models, catalog_panel,
+    catalog_prep, catalog_scenario)
 from .registry import CATALOG
 
 __all__ = ["CATALOG"]

@@ -229,7 +229,7 @@ def dynamic_concordance(panel: DataFrame, horizons: Sequence[int], risk: str, ev
     stop = F.col("tstop")
     snap = panel.groupBy("loan_id").agg(
         F.max(stop).alias("duration"), F.max(event).alias("event"),
-        *[F.max_by(risk, F.when(stop <= h, stop)).alias(f"r{h}") for h in horizons])
+        *[F.max_by(risk, F.when((stop <= h) & F.col(risk).isNotNull(), stop)).alias(f"r{h}") for h in horizons])
     x = snap.select("duration", "event", F.explode(F.array(*[
         F.struct(F.lit(h).alias("horizon"), F.col(f"r{h}").alias("risk")) for h in horizons]))
         .alias("s")).select("duration", "event", "s.*").where("risk is not null")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from statistics import NormalDist
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -142,44 +144,40 @@ def smm_array(h0: Sequence[float], eta: Column) -> Column:
     return F.transform(base, lambda h: F.least(F.greatest(h * F.exp(eta), F.lit(0.0)), F.lit(1.0)))
 
 
-def cash_flows(df: DataFrame, smm: str, coupon: Column, discount: Column, face: Column,
-               term: int = 360) -> DataFrame:
-    """Adds `wal` (years) and `price` (per 100 face) from a level-pay loan with prepayments.
+def cash_flows(df: DataFrame, h0: Sequence[float], eta: Column, coupon: Column, discount: Column,
+               face: Column, term: int = 360) -> DataFrame:
+    """Adds `wal` (years) and `price` (per 100 face) of a level-pay loan that prepays at the
+    clipped monthly rate h0(t)·e^eta.
 
-    One array fold per row: the balance recursion never leaves the row, so projecting billions
-    of loan × scenario rows is a map without a shuffle. The balance left at the horizon is paid
-    then; a balance below one is settled.
+    The balance recursion never leaves a row, so this is a map without a shuffle over loan ×
+    scenario rows. The month loop runs on whole Arrow batches; an array fold in SQL is
+    interpreted per element and was about fifty times slower. The balance left at the last
+    month is paid then; a balance below one is settled.
     """
-    mc, md = coupon / F.lit(1200.0), discount / F.lit(1200.0)
-    pay = face * mc / (F.lit(1.0) - F.pow(F.lit(1.0) + mc, F.lit(float(-term))))
-    x = df.withColumns({"__mc": mc, "__md": md, "__pay": pay, "__face": face.cast("double")})
-    zero = F.lit(0.0)
-    start = F.struct(F.col("__face").alias("bal"), zero.alias("wal"), zero.alias("pv"), zero.alias("t"))
-
-    def month(acc, rate):
-        bal, t = acc["bal"], acc["t"] + F.lit(1.0)
-        interest = bal * F.col("__mc")
-        sched = F.least(F.col("__pay") - interest, bal)
-        paid = sched + rate * F.greatest(bal - sched, zero)
-        live = bal >= 1
-        df_t = F.pow(F.lit(1.0) + F.col("__md"), t)
-        return F.struct(
-            F.when(live, bal - paid).otherwise(bal).alias("bal"),
-            F.when(live, acc["wal"] + t / F.lit(12.0) * paid).otherwise(acc["wal"]).alias("wal"),
-            F.when(live, acc["pv"] + (interest + paid) / df_t).otherwise(acc["pv"]).alias("pv"),
-            t.alias("t"))
-
-    def finish(acc):
-        live, t = acc["bal"] >= 1, acc["t"]
-        return F.struct(
-            (acc["wal"] + F.when(live, t / F.lit(12.0) * acc["bal"]).otherwise(zero)).alias("wal"),
-            (acc["pv"] + F.when(live, acc["bal"] / F.pow(F.lit(1.0) + F.col("__md"), t)).otherwise(zero)).alias("pv"))
-
-    x = x.withColumn("__r", F.aggregate(smm, start, month, finish))
-    return x.withColumns({
-        "wal": F.col("__r.wal") / F.col("__face"),
-        "price": F.col("__r.pv") / F.col("__face") * F.lit(100.0),
-    }).drop("__mc", "__md", "__pay", "__face", "__r")
+    steps = [float(h) for h in h0]
+
+    @F.pandas_udf("wal double, price double")
+    def project(eta: pd.Series, coupon: pd.Series, discount: pd.Series, face: pd.Series) -> pd.DataFrame:
+        mc, md = coupon.to_numpy() / 1200.0, discount.to_numpy() / 1200.0
+        f, speed = face.to_numpy(), np.exp(eta.to_numpy())
+        pay = f * mc / (1.0 - (1.0 + mc) ** -term)
+        bal, wal, pv = f.copy(), np.zeros(len(f)), np.zeros(len(f))
+        for t, h in enumerate(steps, start=1):
+            live = bal >= 1
+            interest = bal * mc
+            sched = np.minimum(pay - interest, bal)
+            paid = sched + np.clip(h * speed, 0.0, 1.0) * np.maximum(bal - sched, 0.0)
+            wal += np.where(live, t / 12.0 * paid, 0.0)
+            pv += np.where(live, (interest + paid) / (1.0 + md) ** t, 0.0)
+            bal = np.where(live, bal - paid, bal)
+        end, left = len(steps), np.where(bal >= 1, bal, 0.0)
+        wal += end / 12.0 * left
+        pv += left / (1.0 + md) ** end
+        return pd.DataFrame({"wal": wal / f, "price": pv / f * 100.0})
+
+    args = [c.cast("double") for c in (eta, coupon, discount, face)]
+    x = df.withColumn("__r", project(*args))
+    return x.withColumns({"wal": F.col("__r.wal"), "price": F.col("__r.price")}).drop("__r")
 
 
 def scenario_summary(flows: DataFrame, by: str = "shock_bp") -> DataFrame:

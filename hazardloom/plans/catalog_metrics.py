@@ -101,7 +101,7 @@ def _(v):
     return M.roc_points(_long(v), ["model", "horizon"])
 
 
-@query("calibration", """select model, horizon, greatest(len(list_filter(edges, e -> e < p)) - 1, 0)::int as bin, avg(p) as pred_mean, avg(y) as observed_rate, min(p) as pred_lower, max(p) as pred_upper, count(*) as n_in_bin
+@query("calibration", """select model, horizon, greatest(len(list_filter(edges, lambda e: e < p)) - 1, 0)::int as bin, avg(p) as pred_mean, avg(y) as observed_rate, min(p) as pred_lower, max(p) as pred_upper, count(*) as n_in_bin
     from lp join (select model, horizon, list_distinct([quantile_cont(p, 0), quantile_cont(p, 0.1), quantile_cont(p, 0.2), quantile_cont(p, 0.3), quantile_cont(p, 0.4), quantile_cont(p, 0.5), quantile_cont(p, 0.6), quantile_cont(p, 0.7), quantile_cont(p, 0.8), quantile_cont(p, 0.9), quantile_cont(p, 1)]) as edges
     from lp group by 1, 2) using (model, horizon) group by 1, 2, 3""", ("long",), "pred_mean observed_rate pred_lower pred_upper", extra=SCORED)
 def _(v):

@@ -130,8 +130,9 @@ MC = {**BASE, "pa": f"select * from (values {PATHS}) as p(path, noise_bp)",
 
 def _paths(v):
     x = S.perturbed_scenarios(S.shock_table(v.spark), S.rate_paths(v.spark))
-    x = x.withColumn("smm", S.smm_array(S.hazard_array(_increments(v)), _eta()))
-    return S.cash_flows(x, "smm", F.lit(K.COUPON_PCT), F.col("market"), F.lit(K.FACE_AMOUNT))
+    h0 = S.hazard_array(_increments(v))
+    x = x.withColumn("smm", S.smm_array(h0, _eta()))
+    return S.cash_flows(x, h0, _eta(), F.lit(K.COUPON_PCT), F.col("market"), F.lit(K.FACE_AMOUNT))
 
 
 @query("perturbed_paths", "select shock_bp, path, wal, price from fl", ("surv",), "wal price", extra=MC)
@@ -168,8 +169,7 @@ def _loan_flows(v):
         "market", F.lit(K.MARKET_PCT) + F.col("shock_bp") / F.lit(100.0))
     eta = (F.lit(0.001) * F.col("CreditScore") + F.lit(-0.004) * F.col("OriginalLoantoValueLTV")
            + F.lit(0.35) * (F.col("OriginalInterestRate") - F.col("market")) - F.lit(0.5))
-    x = x.withColumn("smm", S.smm_array(S.hazard_array(_increments(v)), eta))
-    return S.cash_flows(x, "smm", F.col("OriginalInterestRate"), F.col("market"), F.col("OriginalUPB"))
+    return S.cash_flows(x, S.hazard_array(_increments(v)), eta, F.col("OriginalInterestRate"), F.col("market"), F.col("OriginalUPB"))
 
 
 @query("loan_cash_flows", "select loan_key, shock_bp, wal, price from fl", ("surv",), "wal price", digits=5, extra=_LF)

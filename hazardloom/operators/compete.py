@@ -136,10 +136,10 @@ def cause_nll(panel: DataFrame, loan: str, month: str, hazard: str, time: str, c
     at = F.col(month) == F.col(time)
     point = F.when(F.col(cause) == k, -F.log(lam)).otherwise(-F.log1p(-lam))
     per = panel.groupBy(loan).agg(
-        F.coalesce(F.sum(F.when(before, -F.log1p(-lam))), F.lit(0.0)).alias("s"),
-        F.greatest(F.count_if(before), F.lit(1)).alias("m"),
-        F.max(F.when(at, point)).alias("p"))
-    return per.agg((F.avg(F.col("s") / F.col("m")) + F.avg("p")).alias("nll"))
+        F.coalesce(F.sum(F.when(before, -F.log1p(-lam))), F.lit(0.0)).alias("__s"),
+        F.greatest(F.count_if(before), F.lit(1)).alias("__m"),
+        F.max(F.when(at, point)).alias("__p"))
+    return per.agg((F.avg(F.col("__s") / F.col("__m")) + F.avg("__p")).alias("nll"))
 
 
 def ranking_loss(panel: DataFrame, loan: str, month: str, cif: str, time: str, cause: str,
@@ -153,14 +153,14 @@ def ranking_loss(panel: DataFrame, loan: str, month: str, cif: str, time: str, c
     x = panel.where(F.col(cause) == k)
     e = F.exp(F.col(cif) / F.lit(sigma))
     months = x.groupBy(month).agg(
-        F.sum(F.when(F.col(time) > F.col(month), e)).alias("g"),
-        F.count_if(F.col(time) > F.col(month)).alias("m"),
-        F.sum(F.when(F.col(time) == F.col(month), F.lit(1.0) / e)).alias("own"),
-        F.count_if(F.col(time) == F.col(month)).alias("n"))
-    valid = F.col("m") > 0
+        F.sum(F.when(F.col(time) > F.col(month), e)).alias("__g"),
+        F.count_if(F.col(time) > F.col(month)).alias("__m"),
+        F.sum(F.when(F.col(time) == F.col(month), F.lit(1.0) / e)).alias("__own"),
+        F.count_if(F.col(time) == F.col(month)).alias("__n"))
+    valid = F.col("__m") > 0
     return months.agg(F.coalesce(F.try_divide(
-        F.sum(F.when(valid, F.col("own") * F.col("g") / F.col("m"))),
-        F.sum(F.when(valid, F.col("n")))), F.lit(0.0)).alias("ranking_loss"))
+        F.sum(F.when(valid, F.col("__own") * F.col("__g") / F.col("__m"))),
+        F.sum(F.when(valid, F.col("__n")))), F.lit(0.0)).alias("ranking_loss"))
 
 
 def total_loss(panel: DataFrame, loan: str, month: str, time: str, cause: str,

@@ -30,11 +30,23 @@ def rows_of(table) -> tuple[list[str], list[tuple]]:
     names = sorted(table.column_names)
     cols = [table.column(n).to_pylist() for n in names]
     rows = [tuple(_norm(v) for v in r) for r in zip(*cols)]
-    return names, sorted(rows, key=repr)
+    coarse = [tuple(f"{v:.3g}" if isinstance(v, float) else repr(v) for v in r) for r in rows]
+    return names, [r for _, r in sorted(zip(coarse, rows), key=lambda p: (p[0], repr(p[1])))]
 
 
-def difference(spark_table, sql_table) -> str | None:
-    """First difference as text, None when the results agree."""
+def _same(x, y, tol: float) -> bool:
+    if isinstance(x, float) and isinstance(y, float):
+        return x == y or abs(x - y) <= tol
+    if isinstance(x, tuple) and isinstance(y, tuple):
+        return len(x) == len(y) and all(_same(a, b, tol) for a, b in zip(x, y))
+    return x == y
+
+
+def difference(spark_table, sql_table, tol: float = 0.0) -> str | None:
+    """First difference as text, None when the results agree.
+
+    `tol` admits one unit of the last rounded digit: a mean that lies exactly on a rounding
+    boundary may go either way with the order of summation."""
     a_names, a = rows_of(spark_table)
     b_names, b = rows_of(sql_table)
     if a_names != b_names:
@@ -42,6 +54,6 @@ def difference(spark_table, sql_table) -> str | None:
     if len(a) != len(b):
         return f"{len(a)} rows vs {len(b)} rows"
     for x, y in zip(a, b):
-        if x != y:
+        if not _same(x, y, tol):
             return f"spark {x} vs sql {y} on {a_names}"
     return None

@@ -28,3 +28,21 @@ def test_curves_models_and_scenarios(spark, tmp_path):
     stages.scenario_tables(spark.read.parquet(f"{out}/panel_monthly").where(F.col("vintage_year") <= 2016), out)
     price = {r.shock_bp: r.price_mean for r in spark.read.parquet(f"{out}/scenario_summary").collect()}
     assert price[-300] > price[0] > price[300]
+
+
+def test_files_to_survival_table_cox_and_competing_risks(spark, tmp_path):
+    from hazardloom.operators import terminal
+
+    v, out = Views(spark, FOLDER), str(tmp_path)
+    for y in (1995, 1996, 1997):
+        x = v.loans.where(F.floor(F.col("FirstPaymentDate") / 100) == y)
+        x.write.parquet(f"{out}/o_{y}.parquet")
+        v.perf.join(x.select("loan_key", "LoanSequenceNumber"), "loan_key").write.parquet(f"{out}/p_{y}.parquet")
+    surv = stages.build_survival_table(spark, out + "/o_{year}.parquet", out + "/p_{year}.parquet", range(1994, 1999), out + "/surv")
+    assert surv.count() == v.surv.where("VintageYear <= 1997").count()
+    macro = v.macro.select(F.col("yyyymm").alias("YYYYMM"), F.col("mortgage_rate").alias("MortgageRate"),
+                           F.col("unemployment").alias("Unemployment"), F.col("hpi_yoy").alias("HPI_YoY"))
+    stages.cox_tables(surv, macro, out + "/b")
+    assert spark.read.parquet(out + "/b/cox_macro_summary").count() == 18
+    stages.competing_risk_tables(terminal.survival_loans(surv), v.macro, surv, out + "/e")
+    assert spark.read.parquet(out + "/e/coefficients").count() == 14

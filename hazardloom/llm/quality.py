@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from hazardloom.llm.common import slices, utf8
 
 #: Documents of each class that a fit uses at most, and lines of each.
-SAMPLE_DOCS, SAMPLE_LINES = 1500, 48
+SAMPLE_DOCS, SAMPLE_LINES = 4000, 32
 
 _CLASS = np.zeros(256, np.uint8)
 for _k, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t",
@@ -32,7 +32,7 @@ for _k, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqr
 _CLASS[128:] = 9
 _KINDS = 10
 #: own features and those of both neighbours, first and last line, constant
-N_OWN = _KINDS + 8
+N_OWN = _KINDS + 9
 N_FEATURES = 3 * N_OWN + 3
 
 
@@ -82,6 +82,16 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     weight = np.full(len(data), 1099511628211, np.uint64)
     weight = np.cumprod(weight, dtype=np.uint64) if len(data) else weight
     mixed = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * weight, dtype=np.uint64)])
+    # words that repeat the word before them
+    gap = (kind == 3) | (data == 10)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    word = np.flatnonzero(~gap & (edge[:-1] | np.concatenate([[True], gap[:-1]])))
+    until = np.flatnonzero(~gap & (edge[1:] | np.concatenate([gap[1:], [True]]))) + 1
+    key = (mixed[until] - mixed[word]) * _inverse(weight[word]) if len(word) else np.zeros(0, np.uint64)
+    line = np.searchsorted(start, word, side="right") - 1
+    echo = np.flatnonzero((key[1:] == key[:-1]) & (line[1:] == line[:-1])) + 1
+    own[:, _KINDS + 8] = np.bincount(line[echo], minlength=len(start)) / words
     power = _at(weight, start, 1).astype(np.uint64)
     inverse = _inverse(power)
     doc = np.cumsum(is_first) - 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import quality
+from hazardloom.llm import jaccard, quality
 from hazardloom.llm.common import crc_mod
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = quality.fit_quality(docs, labels, lambda doc_id: crc_mod(doc_id, 4) != 2)
@@ -21,5 +25,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "line_quality")
 
 
-QUERIES = {f.__name__: f for f in (op10_quality,)}
+QUERIES = {f.__name__: f for f in (op5_jaccard_join, op10_quality)}
 ORACLES: dict[str, str] = {}

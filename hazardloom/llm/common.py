@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -45,6 +46,11 @@ class Scratch:
         self.paths[id(out)] = path
         return out
 
+    def release(self) -> None:
+        """Let Spark's cleaner delete shuffle files of finished jobs now, not when the driver's heap fills up."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table of save() once everything that reads it has been written itself."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))

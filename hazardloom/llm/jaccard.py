@@ -204,21 +204,32 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     held = rows.withColumn("salt", F.when(F.col("heavy"), F.xxhash64("gid")).otherwise(0))
     counted = held.withColumn("df", F.count("*").over(Window.partitionBy("token", "salt")))
     posts = scratch.save(counted.where("heavy or df > 1").select("token", "gid", "n", "pos"))
-    scratch_described = described
+    slim = scratch.save(described.select("doc_id", "n", "h1", "h2"))
+    scratch.drop(described)
+    del rows, held, counted, groups, described
+    scratch.release()
     prefix_size = F.col("n") - F.ceil(F.col("n") * percent / 100.0) + 1
     rare = posts.groupBy("gid").agg((F.count("*") / F.first(prefix_size)).alias("common"))
     crowded = members.groupBy("gid").agg(F.count("*").alias("m")).where("m > 1").select("gid")
     wanted = members.join(posts.select("gid").union(crowded).distinct(), "gid", "left_semi")
 
     def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # a merge join returns the rows of an id one after the other
         for batch in slices(batches):
             value, bounds = shingle_sets(*utf8(batch.column(1)), words)
             h1, h2 = signatures(value, bounds)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             ok = (h1 == batch.column(2).to_numpy(zero_copy_only=False)) & (h2 == batch.column(3).to_numpy(zero_copy_only=False))
-            yield batch.select(["cid", "text"]).filter(pa.array(ok))
-
-    texts = docs.join(wanted.select(F.col("cid").alias("doc_id"), "h1", "h2"), "doc_id").select(F.col("doc_id").alias("cid"), "text", "h1", "h2")
-    texts = scratch.save(texts.mapInArrow(same_set, "cid long, text string").dropDuplicates(["cid"]))
+            at = np.flatnonzero(ok)
+            at = at[np.append(True, ids[at][1:] != ids[at][:-1])] if len(at) else at
+            if len(at) and last == ids[at[0]]:
+                at = at[1:]
+            last = ids[at[-1]] if len(at) else last
+            yield batch.select(["cid", "text"]).take(pa.array(at))
+
+    texts = docs.hint("merge").join(wanted.select(F.col("cid").alias("doc_id"), "h1", "h2"), "doc_id").select(F.col("doc_id").alias("cid"), "text", "h1", "h2")
+    texts = scratch.save(texts.mapInArrow(same_set, "cid long, text string"))
+    scratch.release()
     marked = scratch.save(posts.join(rare, "gid"))
     scratch.drop(posts)
     size_ok = F.least("n", "hn") * 100 >= F.greatest("n", "hn") * percent
@@ -238,11 +249,13 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         best = (stars.groupBy("gid").agg(F.max(F.struct("shared", "hub")).alias("s"))
                 .select(F.col("gid").alias("a"), F.col("s.hub").alias("b")))
         edges = scratch.save(edges.union(_verified(best, texts, words, percent)))
+        scratch.release()
         comp = scratch.save(components(edges, scratch))
 
     # exact round: pairs of groups in different components
     now = marked.join(comp.withColumnRenamed("node", "gid"), "gid", "left").withColumn("comp", F.coalesce("component", "gid"))
     spread = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
+    scratch.release()
     now = scratch.save(now.join(spread, "token").select("token", "gid", "n", "pos", "comp"))
     need = lambda a, b: F.ceil((a + b) * percent / (100.0 + percent) - 1e-9)
     index_size = F.col("n") - F.ceil(F.col("n") * (2.0 * percent / (100 + percent)) - 1e-9) + 1
@@ -263,7 +276,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     edges = edges.union(_verified(expanded.union(inner).distinct(), texts, words, percent))
     comp = components(edges, scratch)
     named = members.join(comp.withColumnRenamed("node", "cid"), "cid", "left").select("n", "h1", "h2", F.coalesce("component", "cid").alias("component_id"))
-    out = scratch_described.select("doc_id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left")
+    out = slim.select("doc_id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

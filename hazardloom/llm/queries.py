@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import jaccard, quality
+from hazardloom.llm import (decontaminate, jaccard, language, pieces, pii, quality, tokencount,
+                            toxicity)
 from hazardloom.llm.common import crc_mod
 
 
@@ -13,10 +14,46 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.fit_toxicity(docs, labels, lambda doc_id: crc_mod(doc_id, 5) != 0)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "gain", "n_toxic")
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = language.fit_languages(docs, lambda doc_id: crc_mod(doc_id, 4) != 2)
+    return language.predict_languages(docs, model).select(
+        "doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_components(_table(spark, folder, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.encoded_digests(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pii.find_pii(docs, pii.fit_pii(docs))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = quality.fit_quality(docs, labels, lambda doc_id: crc_mod(doc_id, 4) != 2)
@@ -25,5 +62,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "line_quality")
 
 
-QUERIES = {f.__name__: f for f in (op5_jaccard_join, op10_quality)}
+QUERIES = {f.__name__: f for f in (op3_toxicity, op4_language, op5_jaccard_join, op6_token_counts, op7_decontamination, op8_pieces, op9_pii, op10_quality)}
 ORACLES: dict[str, str] = {}

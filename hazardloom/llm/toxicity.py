@@ -16,6 +16,7 @@ labels); rows that repeat an id are scored each.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,9 +29,12 @@ from pyspark.sql import functions as F
 from hazardloom.llm.common import slices
 from hazardloom.llm.quality import training_sample
 
-PER_CLASS, PER_TEXT, DICTIONARY, WINDOW = 4000, 6000, 24_000, 48
+PER_CLASS, PER_TEXT, DICTIONARY, WINDOW = 4000, 6000, 8_000, 48
 #: Windows whose gain a task remembers.
 REMEMBERED = 500_000
+#: Every window stands between two fixed strings that close both dictionaries: zstandard stores very short inputs
+#: as they are and starts no match in an input's last bytes.
+_LEAD, _TAIL = bytes(range(128, 192)), bytes(range(200, 216))
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -60,14 +64,15 @@ class ToxicityModel:
             import zstandard
 
             for raw in (self.toxic, self.ordinary):
-                d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT if raw[:4] != b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_AUTO)
-                parameters = zstandard.ZstdCompressionParameters(
-                    compression_level=3, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False,
-                    write_dict_id=False, strategy=zstandard.STRATEGY_BTOPT, min_match=3, window_log=17, hash_log=14, chain_log=14, search_log=6, target_length=64)
+                raw = raw + _LEAD + _TAIL
+                d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                parameters = zstandard.ZstdCompressionParameters.from_level(
+                    9, dict_size=len(raw), source_size=128, format=zstandard.FORMAT_ZSTD1_MAGICLESS, min_match=3, strategy=zstandard.STRATEGY_LAZY2, window_log=18, hash_log=16, chain_log=16,
+                    write_content_size=False, write_checksum=False, write_dict_id=False)
                 d.precompute_compress(compression_params=parameters)
                 self._pair.append(zstandard.ZstdCompressor(dict_data=d, compression_params=parameters).compress)
         toxic, ordinary = self._pair
-        w = b" " + window + b" "
+        w = _LEAD + b" " + window + b" " + _TAIL
         return len(ordinary(w)) - len(toxic(w))
 
     def evidence(self, texts: list[str | None], known: dict[bytes, int]) -> np.ndarray:
@@ -100,13 +105,29 @@ def inputs(e: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary, or the samples themselves where there are too few to train on."""
+    """The content of a trained dictionary (its segments; windows are too short for its entropy tables), or the
+    samples themselves where there are too few to train on."""
     import zstandard
 
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        trained = zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-size:]
+    return trained[trained.rfind(b"\x08\x00\x00\x00") + 4:] if b"\x08\x00\x00\x00" in trained[:1024] else trained
+
+
+def _without_copies(rows: list[tuple]) -> list[tuple]:
+    """Rows whose text does not mostly repeat the three-word shingles of earlier ones: a copied text is one observation."""
+    met: set[int] = set()
+    out = []
+    for row in rows:
+        w = windows(row[2])
+        own = {zlib.crc32(b" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))}
+        own = {x for x in own if x % 8 == 0} or own
+        if 2 * len(own & met) <= len(own):
+            out.append(row)
+        met |= own
+    return out
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(True), per_class: int = PER_CLASS,
@@ -115,6 +136,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(T
     place = F.lit(1) + F.pmod(F.xxhash64("_id"), F.greatest(F.lit(1), F.length("_text") - per_text))
     got = sorted(((r._id, r._y, r.t) for r in sample.select("_id", "_y", F.substring(F.col("_text"), place.cast("int"), F.lit(per_text)).alias("t")).collect()),
                  key=lambda r: (r[0], r[2] or ""))
+    got = _without_copies(got)
     y = np.array([r[1] for r in got])
     if len(set(y.tolist())) < 2:
         return ToxicityModel(constant=float(y.mean()) if len(y) else 0.0)
@@ -129,9 +151,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(T
             for m in range(4, min(len(w), 16) + 1):
                 heads[c][w[:m]] += k
 
+    # a beginning counts if its share of toxic texts can't be chance among so many beginnings
+    share, chance = n[1] / (n[0] + n[1]), math.log(max(2, len(heads[1]))) + 3
+
     def lift(x: bytes) -> float:
-        a, b = heads[1][x] / n[1], (heads[0][x] + 0.5) / n[0]
-        return heads[1][x] * math.log(a / b) if a > 4 * b and heads[1][x] >= 3 else 0.0
+        k1, k0 = heads[1][x], heads[0][x]
+        odds = k1 * -math.log(share) - (math.lgamma(k1 + k0 + 1) - math.lgamma(k1 + 1) - math.lgamma(k0 + 1))
+        return odds if odds > chance and k1 * n[0] > 4 * k0 * n[1] else 0.0
 
     weight = {w: max((lift(w[:m]) for m in range(4, min(len(w), 16) + 1)), default=0.0) for w in seen[1]}
     chosen = sorted((w for w in weight if weight[w] > 0), key=lambda w: (weight[w], w))
@@ -147,7 +173,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(T
     part = [Counter({g: k for g, k in Counter(known.setdefault(w, model.gain(w)) if w not in known else known[w] for w in s).items()}) for s in split]
     most = np.array([max(p, default=-9) for p in part])
     held_y, held = y[fold], most[fold]
-    values = range(1, 16)
+    values = range(-4, 32)
     # least weighted error, an ordinary text counting as the labels' shares are in use
     model.threshold = min(values, key=lambda t: ((held[held_y == 0] >= t).mean() * 3 + (held[held_y == 1] < t).mean(), t))
     e = np.array([(m, sum(k for g, k in p.items() if g >= model.threshold), math.log1p(sum(p.values()))) for m, p in zip(most, part, strict=True)], np.float64)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import (decontaminate, jaccard, language, pieces, pii, quality, tokencount,
-                            toxicity)
+from hazardloom.llm import (decontaminate, fingerprint, jaccard, language, pieces, pii, quality, suffix,
+                            tokencount, toxicity)
 from hazardloom.llm.common import crc_mod
 
 
@@ -14,6 +14,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, folder, "documents"))
+
+
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(_table(spark, folder, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     model = toxicity.fit_toxicity(docs, labels, lambda doc_id: crc_mod(doc_id, 5) != 0)
@@ -62,5 +70,5 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "line_quality")
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_language, op5_jaccard_join, op6_token_counts, op7_decontamination, op8_pieces, op9_pii, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_toxicity, op4_language, op5_jaccard_join, op6_token_counts, op7_decontamination, op8_pieces, op9_pii, op10_quality)}
 ORACLES: dict[str, str] = {}

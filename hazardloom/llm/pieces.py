@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from hazardloom.llm.common import slices
 
@@ -195,8 +196,7 @@ def encode_documents(docs: DataFrame, path: str, rate: float = RATE, seed: int =
             lists = pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([c is None for c in coded]))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, "pieces"])
 
-    fields = docs.schema.add("pieces", "array<int>")
-    return docs.mapInArrow(run, fields)
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("pieces", ArrayType(IntegerType()))]))
 
 
 def decode_documents(coded: DataFrame, path: str) -> DataFrame:

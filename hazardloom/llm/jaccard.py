@@ -257,11 +257,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     spread = now.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
     scratch.release()
     now = scratch.save(now.join(spread, "token").select("token", "gid", "n", "pos", "comp"))
+    # prefix shingles without a holder in another component can't be shared: `most` bounds any overlap
+    most = now.groupBy("gid").agg((F.first("n") - F.first(prefix_size) + F.count("*")).alias("most"))
+    now = now.join(most, "gid")
     need = lambda a, b: F.ceil((a + b) * percent / (100.0 + percent) - 1e-9)
     index_size = F.col("n") - F.ceil(F.col("n") * (2.0 * percent / (100 + percent)) - 1e-9) + 1
     x = now.where(F.col("pos") < index_size)
-    y = now.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "comp")])
-    bound = F.least("pos", "pos2") + 1 + F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) - 1
+    y = now.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "comp", "most")])
+    # at a pair's first common shingle nothing before it is shared; only that row of a pair has to pass
+    bound = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2"), "most", "most2")
     met = ((F.col("comp") != F.col("comp2")) & ((F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("gid") < F.col("gid2"))))
            & (F.col("n") * 100 >= F.col("n2") * percent) & (bound >= need(F.col("n"), F.col("n2"))))
     pairs = (x.join(y, (x["token"] == y["token"]) & met).groupBy("gid", "gid2").agg(F.first("comp").alias("c1"), F.first("comp2").alias("c2")))

@@ -31,7 +31,7 @@ from hazardloom.llm.jaccard import inverse, mix
 
 LENGTH, GRAM = 400, 225
 #: A text is read in blocks of this many starts; quarters are joined up to about this many bytes for one transform.
-BLOCK, JOINED = 1 << 22, 1 << 20
+BLOCK, JOINED = 1 << 20, 1 << 19
 _BASE1, _BASE2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = np.uint64((1 << 23) - 1)
 
@@ -213,7 +213,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text", F.lit(1)))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, 1, BLOCK):
             doc, anchor, seg, lo, cnt, off = segments(*utf8(batch.column(1)), length, gram)
             th = batch.column(0).to_numpy(zero_copy_only=False)[doc] if len(doc) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(seg), pa.array(th), pa.array(lo), pa.array(cnt, pa.int32()), pa.array(off, pa.int32())], ["anchor", "seg", "th", "lo", "cnt", "off"])

@@ -94,7 +94,7 @@ def _fold(h1: str, h2: str):
 
     start = F.array(F.struct(F.lit(1.0).alias("s"), F.lit(0.0).alias("f1"), F.lit(0.0).alias("f2")))
     pairs = F.zip_with(h1, h2, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.slice(F.aggregate(pairs, start, step), 2, K.MONTH_GRID)
+    return F.filter(F.aggregate(pairs, start, step), lambda x, i: i > 0)
 
 
 def incidence_arrays(df: DataFrame, h1: str, h2: str, name: str = "path") -> DataFrame:

@@ -43,6 +43,7 @@ class CoxFit:
     history: list[dict] = field(default_factory=list)
     concordance: float | None = None
     label: str = "cox"
+    converged: bool = True
 
     @property
     def beta(self) -> dict[str, float]:
@@ -83,9 +84,9 @@ class CoxFit:
         return spark.createDataFrame([(
             self.label, self.n, self.n_events, len(self.names), self.concordance,
             -2.0 * self.loglik + 2.0 * len(self.names), float(self.loglik),
-            float(self.penalised_loglik), float(self.penalizer))], (
+            float(self.penalised_loglik), float(self.penalizer), self.converged)], (
             "label string, n bigint, n_events bigint, n_covariates int, concordance double, "
-            "partial_AIC double, log_likelihood double, penalised_log_likelihood double, penalizer double"))
+            "partial_AIC double, log_likelihood double, penalised_log_likelihood double, penalizer double, converged boolean"))
 
     def history_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -136,6 +137,7 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
     open_ = list(names)
     history: dict[str, list] = {m: [] for m in names}
     halvings = dict.fromkeys(names, 0)
+    stuck: set[str] = set()
 
     def sums_at(frame, which, values):
         return month_sums(frame, covariates, [Model(events[m], values[m]) for m in which], time=time,
@@ -150,6 +152,9 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
                 halvings[m] += 1  # overshoot: half the step, same iteration budget
                 trial[m] = (trial[m] + beta[m]) / 2
                 continue
+            if m in state and not pll >= state[m][1] - 1e-9 * abs(state[m][1]):
+                stuck.add(m)  # no step improves: the last good point stays, flagged
+                continue
             step = trial[m] - beta[m]
             beta[m], state[m], halvings[m] = trial[m].copy(), (ev, pll), 0
             history[m].append({"iteration": len(history[m]), "loglik": float(ev.loglik),
@@ -159,6 +164,8 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
                 history[m][-1]["val_loglik"] = float(evaluate(s, beta[m], ties, censoring).loglik)
         still = []
         for m in open_:
+            if m in stuck:
+                continue
             ev = state[m][0]
             g = ev.score - ridge * beta[m]
             h = ev.hessian - np.diag(ridge)
@@ -177,7 +184,8 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
         ev, pll = state[m]
         var = np.linalg.inv(-(ev.hessian - np.diag(ridge))) / np.outer(scale, scale)
         out[m] = CoxFit(covariates, beta[m] / scale, var, mean, scale, float(ev.loglik), float(pll), n,
-                        int(n_ev[i] or 0), penalizer, ties, time, events[m], ev, history[m], label=m)
+                        int(n_ev[i] or 0), penalizer, ties, time, events[m], ev, history[m], label=m,
+                        converged=m not in open_ and m not in stuck)
     return out
 
 

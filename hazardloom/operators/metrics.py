@@ -165,13 +165,13 @@ def score_histogram(long: DataFrame, by: Sequence[str] = ("model", "horizon"), b
 
 # --- concordance ---------------------------------------------------------------------------
 def concordance(df: DataFrame, time: str, event: str, score: str, by: Sequence[str] = (),
-                higher_is_riskier: bool = True, max_time: int = K.MONTH_GRID) -> DataFrame:
+                higher_is_riskier: bool = True, max_time: int = 32767) -> DataFrame:
     """Harrell's C, exact, without forming a pair.
 
     A pair with t_i < t_j differs first at one binary digit of the month. For each digit the
     rows that agree above it form a group, and counting "event row with digit 0 against row
-    with digit 1" there is a Mann-Whitney count over the scores. Nine digits cover 360 months,
-    so a row is counted ten times instead of being joined with every later row. Equal months
+    with digit 1" there is a Mann-Whitney count over the scores. Fifteen digits cover every smallint
+    month, so a row is counted sixteen times instead of being joined with every later row. Equal months
     compare events with censored rows; tied scores count one half.
     """
     by = list(by)

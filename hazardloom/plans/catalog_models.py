@@ -94,7 +94,7 @@ PAIRS = """select sum(case when i.s > j.s then i.c * j.c when i.s = j.s then 0.5
 
 
 @query("cox_metadata", """select 'cox' as label, n, cast(n_events as bigint) as n_events, 2 as n_covariates, (select concordant / pairs from pairs) as concordance,
-    -2 * loglik + 4 as "partial_AIC", loglik as log_likelihood, loglik - 0.5e0 * 0.001e0 * n * (p1 * p1 + p2 * p2) as penalised_log_likelihood, 0.001e0 as penalizer from fin""",
+    -2 * loglik + 4 as "partial_AIC", loglik as log_likelihood, loglik - 0.5e0 * 0.001e0 * n * (p1 * p1 + p2 * p2) as penalised_log_likelihood, 0.001e0 as penalizer, true as converged from fin""",
        ("surv",), "concordance partial_AIC log_likelihood penalised_log_likelihood penalizer", digits=4,
        extra={**ROWS, **newton("r0", penalizer=0.001),
               "cg": "select t, e, round(b1 * x1 + b2 * x2, 9) as s, count(*) as c from r0, fin group by 1, 2, 3", "pairs": PAIRS})

@@ -118,3 +118,9 @@ def test_incidence_gradient_matches_bumping(spark):
         up[i] += 1e-5
         dn[i] -= 1e-5
         assert abs(got[i] - abs(cif(up) - cif(dn)) / 2e-5) < 1e-7
+
+
+def test_concordance_beyond_the_month_grid(spark):
+    df = spark.createDataFrame([(400, 1, 2.0), (900, 0, 1.0), (361, 1, 3.0)], "t int, e int, s double")
+    got = metrics.concordance(df, "t", "e", "s").first()
+    assert (got.concordant, got.pairs) == (3.0, 3.0)

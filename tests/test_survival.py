@@ -171,3 +171,12 @@ def test_ranking_loss_brute_force(spark):
             per.append(np.mean([math.exp((cif[j, times[i]] - cif[i, times[i]]) / 0.1) for j in partners]))
     got = compete.ranking_loss(df, "loan", "m", "cif", "x", "k", 1).collect()[0][0]
     assert abs(got - np.mean(per)) < 1e-9
+
+
+def test_long_paths_and_unfinished_fits(spark):
+    path = [0.01] * 400
+    df = spark.createDataFrame([(path, path)], "a array<double>, b array<double>")
+    assert len(compete.incidence_arrays(df, "a", "b").first().path) == 400
+    rows = spark.createDataFrame([(1 + k % 7, k % 3 == 0, float(k % 5)) for k in range(60)], "t int, e boolean, x double").selectExpr("t", "int(e) e", "x")
+    assert cox.fit(rows, ["x"], time="t", event="e").converged
+    assert not cox.fit(rows, ["x"], time="t", event="e", max_iter=0).converged

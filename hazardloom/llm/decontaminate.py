@@ -13,6 +13,7 @@ reported each; of overlapping matches of a passage in a text the one with fewest
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,6 +28,8 @@ Q, RATE, MIN_BYTES = 10, 0.08, 24
 #: Passages are searched in blocks of about this many bytes; one block's index is in a task at a time.
 BLOCK_BYTES = 4 << 20
 _BITS = 22
+#: Candidates are aligned in groups of passages that take about this many bytes.
+ALIGN_BYTES = 4 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -101,9 +104,25 @@ class Passages:
         return doc[enough], item[enough], band[enough]
 
     def align(self, data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, item: np.ndarray, band: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(text, passage, start, end, edits) of candidates within their budget; all candidates advance row by row."""
-        if not len(doc):
-            return []
+        """(text, passage, start, end, edits) of candidates within their budget; of overlapping ones the best stays."""
+        order = np.argsort(self.size[item], kind="stable")
+        found: set[tuple[int, int, int, int, int]] = set()
+        while len(order):
+            n = max(1, int((self.size[item[order]] * np.arange(1, len(order) + 1) <= ALIGN_BYTES).sum()))
+            found |= set(self._align(data, offsets, doc[order[:n]], item[order[:n]], band[order[:n]]))
+            order = order[n:]
+        kept: list[tuple[int, int, int, int, int]] = []
+        taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for hit in sorted(found, key=lambda h: (h[0], h[1], h[4], h[2], h[3])):
+            spans = taken.setdefault(hit[:2], [])
+            before = bisect_left(spans, (hit[3], 0))
+            if not before or spans[before - 1][1] <= hit[2]:
+                insort(spans, (hit[2], hit[3]))
+                kept.append(hit)
+        return kept
+
+    def _align(self, data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, item: np.ndarray, band: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """Every candidate within its budget; all of them advance row by row."""
         width = int((self.step[item] + self.edits[item]).max()) + 1
         first = band * self.step[item] - self.size[item]
         size, n = self.size[item], offsets[doc + 1] - offsets[doc]
@@ -136,11 +155,7 @@ class Passages:
         for r, (lane_at, value) in result.items():
             start, end = int(first[r]) + value % unit, int(first[r]) + lane_at + int(size[r])
             found.append((int(doc[r]), int(item[r]), start, end, value // unit))
-        kept: list[tuple[int, int, int, int, int]] = []
-        for hit in sorted(set(found), key=lambda h: (h[0], h[1], h[4], h[2], h[3])):
-            if not any(h[:2] == hit[:2] and h[2] < hit[3] and hit[2] < h[3] for h in kept[-64:]):
-                kept.append(hit)
-        return kept
+        return found
 
 
 def _blocks(benchmark: DataFrame) -> list[DataFrame]:

@@ -119,7 +119,9 @@ def test_language(spark, odd):
     got = language.predict_languages(table(spark, [(1, "the hat with the cat", None), (2, "die katze und der hund", None), (3, None, None), (4, "12 !", None)]), model).collect()
     assert [r.lang_pred for r in got] == ["en", "de", "und", "und"] and got[2].score == 0
     tables, symbols = model.tables[0]
-    context = np.uint64((ord("t") << 32 | ord("h") << 16 | ord("e")) << 16)
+    symbols_of = dict(zip("the", language.grams(["the"])[0] & np.uint64(63), strict=True))
+    context = (symbols_of["t"] << np.uint64(12) | symbols_of["h"] << np.uint64(6) | symbols_of["e"]) << np.uint64(6)
+    assert int(max(t.key.max() for t in tables)) < 1 << 24 and len({*language.grams(["абвгдежзийклмнопрстуфхцчшщъыьэюя"])[0] & np.uint64(63)}) == 32
     total = language.backed(tables, context | tables[0].key, symbols).sum()
     assert 0.9 < total <= 1 + 1e-9  # of known symbols; the rest is left for unknown ones
     assert language.predict_languages(odd[1], language.fit_languages(odd[1])).count() == len(odd[0])
@@ -211,6 +213,10 @@ def test_pii(spark, odd):
     assert pii.redacted(docs, pii.fit_pii(docs)).columns == docs.columns
     assert pii.find_pii(empty(spark), pii.fit_pii(empty(spark))).count() == 0
     assert pii.base_spans("1" * 300_000 + "@" * 1000) == []
+    covered = pii.Covered(spans)
+    for a in range(len(text)):
+        for b in range(a + 1, len(text) + 1):
+            assert covered.any(a, b) == any(s < b and a < e for _, s, e in spans)
 
 
 def test_decontamination(spark, odd):
@@ -222,5 +228,8 @@ def test_decontamination(spark, odd):
     assert [g[:2] for g in got] == [(60, 1), (61, 1)] and got[0][2:] == (7, 7 + len(passage), 0) and got[1][4] <= 4 and got[1][2] == 9
     kept = decontaminate.clean_documents(table(spark, rows), bench)
     assert kept.count() == len(rows) - 2
+    often = table(spark, [(63, (passage + " and then ") * 150, "en"), (64, (changed + " ") * 70, "en")])
+    got = collections.Counter(r.doc_id for r in decontaminate.contaminated(often, bench).collect())
+    assert got == {63: 150, 64: 70}
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
     assert decontaminate.contaminated(odd[1], bench.where("false")).count() == 0

@@ -121,6 +121,9 @@ def test_language(spark, odd):
     tables, symbols = model.tables[0]
     symbols_of = dict(zip("the", language.grams(["the"])[0] & np.uint64(63), strict=True))
     context = (symbols_of["t"] << np.uint64(12) | symbols_of["h"] << np.uint64(6) | symbols_of["e"]) << np.uint64(6)
+    gram = language.grams(["the hat", None, "", "a", LONG])[0]
+    for got_of, want_of in zip(language.distinct_grams(gram), np.unique(gram, return_inverse=True), strict=True):
+        assert (got_of == want_of).all()
     assert int(max(t.key.max() for t in tables)) < 1 << 24 and len({*language.grams(["абвгдежзийклмнопрстуфхцчшщъыьэюя"])[0] & np.uint64(63)}) == 32
     total = language.backed(tables, context | tables[0].key, symbols).sum()
     assert 0.9 < total <= 1 + 1e-9  # of known symbols; the rest is left for unknown ones

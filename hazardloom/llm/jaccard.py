@@ -32,8 +32,8 @@ WORDS, PERCENT = 5, 75
 COUNTERS = 1 << 18
 _CHUNK = 1 << 12
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LETTER = np.arange(1, 257, dtype=np.uint64)
+_LETTER[65:91] += np.uint64(32)
 _GAP = np.zeros(256, bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -42,18 +42,23 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
-def inverse(odd: np.ndarray) -> np.ndarray:
-    """Inverse modulo 2^64 by Newton's rule."""
-    x = odd.copy()
-    for _ in range(6):
-        x = x * (np.uint64(2) - odd * x)
-    return x
+_STEP = 12  # a power is one of 2^12 low ones times a high one
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(base^i for i < 2^12, base^(2^12 i) as far as exponents up to n need them), modulo 2^64."""
+    low = np.cumprod(np.concatenate([[np.uint64(1)], np.full((1 << _STEP) - 1, base, np.uint64)]), dtype=np.uint64)
+    high = np.full((n >> _STEP) + 1, low[-1:] * base, np.uint64)
+    high[0] = 1
+    return low, np.cumprod(high, dtype=np.uint64)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -63,30 +68,56 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     edge[offsets] = True
     start = np.flatnonzero(~gap & (edge[:-1] | np.concatenate([[True], gap[:-1]]))) if len(data) else np.zeros(0, np.int64)
     end = np.flatnonzero(~gap & (edge[1:] | np.concatenate([gap[1:], [True]]))) + 1 if len(data) else start
-    power = np.cumprod(np.full(len(data) + 1, _BASE, np.uint64), dtype=np.uint64)
-    total = np.concatenate([[np.uint64(0)], np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)])
-    hashed = mix((total[end] - total[start]) * inverse(power[start]) + (end - start).astype(np.uint64))
-    return hashed, np.searchsorted(start, offsets)
+    low, high = _powers(_BASE, len(data))
+    total = np.zeros(len(data) + 1, np.uint64)
+    total[1:] = _LETTER[data]
+    total[1:] *= np.multiply.outer(high, low).ravel()[:len(data)]
+    np.cumsum(total, out=total)
+    low, high = _powers(_INVERSE, len(data))
+    hashed = total[end] - total[start]
+    hashed *= low[start & ((1 << _STEP) - 1)]
+    hashed *= high[start >> _STEP]
+    hashed += (end - start).astype(np.uint64)
+    return mix(hashed), np.searchsorted(start, offsets)
+
+
+def _sort_within(value: np.ndarray, bounds: np.ndarray) -> None:
+    """Sort each text's stretch of an array in place."""
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        value[a:b].sort()
+
+
+def _by_weight(weight: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Places ordered within each text by weight (below 2^32), then as they stand."""
+    key = weight.astype(np.uint64) << np.uint64(32)
+    key |= np.arange(len(key), dtype=np.uint64)
+    _sort_within(key, bounds)
+    return (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingle hashes of each text, sorted within it; number of the first of each text and the end)."""
     hashed, first = word_hashes(data, offsets)
     count = np.diff(first)
-    width = np.where(count >= words, words, count)
-    doc = np.repeat(np.arange(len(count)), np.where(count >= words, count - words + 1, np.minimum(count, 1)))
-    n_before = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(count)))])
-    at = first[doc] + np.arange(len(doc)) - n_before[doc]
-    value = width[doc].astype(np.uint64)
-    for k in range(words):
-        have = k < width[doc]
-        value = np.where(have, mix(value * _BASE + hashed[np.minimum(at + k, max(0, len(hashed) - 1))]) if len(hashed) else value, value)
-    order = np.lexsort((value, doc))
-    value, doc = value[order], doc[order]
+    n = np.where(count >= words, count - words + 1, np.minimum(count, 1))
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    doc = np.repeat(np.arange(len(count)), n)
+    at = np.arange(len(doc)) + (first[:-1] - bounds[:-1])[doc]
+    width = np.minimum(count, words)[doc]
+    short = np.flatnonzero(width < words)
+    value = width.astype(np.uint64)
+    for k in range(words if len(doc) else 0):
+        longer = value * _BASE
+        longer += hashed[np.minimum(at + k, len(hashed) - 1)]
+        longer = mix(longer)
+        over = short[width[short] <= k]
+        longer[over] = value[over]
+        value = longer
+    _sort_within(value, bounds)
     new = np.ones(len(value), bool)
-    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-    value, doc = value[new], doc[new]
-    return value, np.searchsorted(doc, np.arange(len(count) + 1))
+    new[1:] = value[1:] != value[:-1]
+    new[bounds[:-1][n > 0]] = True
+    return value[new], np.concatenate([[0], np.cumsum(new)])[bounds]
 
 
 def signatures(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +170,7 @@ def _described(docs: DataFrame, words: int, t: Fraction, total: np.ndarray) -> D
             n = np.diff(bounds)
             h1, h2 = signatures(value, bounds)
             weight = table[(value % np.uint64(len(table))).astype(np.int64)]
-            doc = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((value, weight, doc))
+            order = _by_weight(weight, bounds)
             value, heavy = value[order], (weight[order] > limit).astype(np.uint8)
             size = np.where(n > 0, n - _least(n, t) + 1, 0)
             prefix = [value[a:a + k].tobytes() for a, k in zip(bounds[:-1], size, strict=True)]

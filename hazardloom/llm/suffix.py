@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardloom.llm.common import Scratch, slices, utf8
-from hazardloom.llm.jaccard import inverse, mix
+from hazardloom.llm.jaccard import mix
 
 LENGTH, GRAM = 400, 225
 #: A text is read in blocks of this many starts; quarters are joined up to about this many bytes for one transform.
@@ -46,7 +46,7 @@ class Rolling:
         power = np.cumprod(power, dtype=np.uint64)
         self.total = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64, out=self.total[1:])
-        back = np.full(n + 1, inverse(np.array([base], np.uint64))[0], np.uint64)
+        back = np.full(n + 1, pow(int(base), -1, 1 << 64), np.uint64)
         back[0] = 1
         self.back = np.cumprod(back, dtype=np.uint64)
 

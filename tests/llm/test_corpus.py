@@ -74,6 +74,23 @@ def test_jaccard(spark, odd):
     assert jaccard.similar_components(empty(spark)).count() == 0
 
 
+def test_shingle_sets():
+    """Sizes of the sets, order within a text, and one value for one shingle wherever it stands."""
+    import pyarrow as pa
+
+    from hazardloom.llm.common import utf8
+
+    texts = ["", None, "a b", "A b", "  x  ", LONG, "q w e r t " * 2000, LONG[-3000:], "é ü " * 7, "w0x"]
+    value, bounds = jaccard.shingle_sets(*utf8(pa.array(texts)))
+    assert np.diff(bounds).tolist() == [len(sets(t)) for t in texts]
+    got = [value[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    assert all((g[1:] > g[:-1]).all() for g in got) and (got[2] == got[3]).all()
+    assert len(np.intersect1d(got[5], got[7])) == len(sets(texts[5]) & sets(texts[7]))
+    weight = np.random.default_rng(0).integers(0, 9, len(value))
+    want = np.lexsort((np.arange(len(value)), weight, np.repeat(np.arange(len(texts)), np.diff(bounds))))
+    assert (jaccard._by_weight(weight, bounds) == want).all()
+
+
 def test_suffix(spark, odd):
     random.seed(1)
     for _ in range(40):

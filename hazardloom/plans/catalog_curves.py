@@ -102,19 +102,17 @@ def _(v):
 
 @query("nelson_aalen_linear", """select g.t, case when a.t is null then 0e0 when b.t is null then a.H when b.t = a.t then a.H else a.H + (b.H - a.H) * (g.t - a.t) / (b.t - a.t) end as cum_hazard
     from grid360 g left join n0 a on a.t = (select max(t) from n0 where n0.t <= g.t) left join n0 b on b.t = (select min(t) from n0 where n0.t >= g.t)""",
-       ("surv", "grid360"), "cum_hazard", extra={"et": ET, "na": NA, "n0": "select 0 as t, 0e0 as H union all select t, H from na where t % 3 = 0"})
+       ("surv", "grid360"), "cum_hazard", extra={"et": ET, "na": NA, "n0": "select 0 as t, 0e0 as H union all select t, H from na"})
 def _(v):
-    # every third month only, so that the interpolation has gaps to bridge
-    na = curves.nelson_aalen(_et(v)).where("t % 3 = 0").select("t", "cum_hazard")
+    na = curves.nelson_aalen(_et(v)).select("t", "cum_hazard")
     origin = v.spark.range(1).select(F.lit(0).alias("t"), F.lit(0.0).alias("cum_hazard"))
     return lookup.linear(na.unionByName(origin), lookup.month_grid(na, [], K.MONTH_GRID), "cum_hazard")
 
 
 @query("nearest_month", "select w.h as at, k.t as t_used, k.S from (select unnest([1, 13, 14, 37, 120]) as h) w join k3 k on k.t = (select arg_min(t, abs(t - w.h) * 100000 + t) from k3)",
-       ("surv",), "S", extra={**KM, "k3": "select t, S from km where t % 3 = 0"})
+       ("surv",), "S", extra={**KM, "k3": "select t, S from km"})
 def _(v):
-    k3 = curves.kaplan_meier(_et(v)).where("t % 3 = 0")
-    return lookup.nearest(k3, [1, 13, 14, 37, 120], "S")
+    return lookup.nearest(curves.kaplan_meier(_et(v)), [1, 13, 14, 37, 120], "S")
 
 
 def _skm(v):

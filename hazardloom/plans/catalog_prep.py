@@ -229,9 +229,10 @@ def _(v):
     return terminal.distinct_counts(v.surv, "PropertyState", "VintageYear", "Channel")
 
 
-@query("yearly_union", """select VintageYear, count(*) as n, sum(OriginalUPB) as upb from orig where VintageYear in (1996, 1998, 2001) group by 1""", ("orig",), "upb", digits=2)
+@query("yearly_union", """select VintageYear, count(*) as n, sum(OriginalUPB) as upb from orig where VintageYear is not null group by 1""", ("orig",), "upb", digits=2)
 def _(v):
-    parts = [v.origination.where(F.col("VintageYear") == y) for y in (1996, 1998, 2001)]
+    years = sorted(r[0] for r in v.origination.select("VintageYear").distinct().dropna().collect())
+    parts = [v.origination.where(F.col("VintageYear") == y) for y in years]
     return tables.union_all(parts).groupBy(F.col("VintageYear").cast("int").alias("VintageYear")).agg(
         F.count("*").alias("n"), F.sum("OriginalUPB").alias("upb"))
 

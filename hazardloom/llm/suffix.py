@@ -5,7 +5,8 @@ anchor: the least-hashed `gram` bytes in it (the last of equals), which its byte
 anchor's place with all strings around it that name it. Segments whose anchor occurs once are unique; those with
 equal bytes repeat whole; only segments with an anchor in common and different bytes go on. Their quarters (strings
 whose anchor lies in the same quarter) share at least 357 bytes or cannot match, so they are grouped by the
-hash of these bytes, and groups of one are dropped.
+hash of these bytes, and groups of one are dropped. A passage in many different surroundings makes a group that
+grows with the corpus: groups over a fixed size are split into single strings, whose repeats are counted by hash.
 
 A task joins its groups' quarters, each with an own end sign, sorts the suffixes and takes the Burrows-Wheeler
 transform. Intervals are extended backwards, breadth first: an interval of strings of n bytes that ends where no
@@ -30,7 +31,8 @@ from hazardloom.llm.common import Scratch, slices, utf8
 from hazardloom.llm.jaccard import mix
 
 LENGTH, GRAM = 400, 225
-#: A text is read in blocks of this many starts; quarters are joined up to about this many bytes for one transform.
+#: A text is read in blocks of this many starts; quarters are joined up to about this many bytes for one transform,
+#: and a group of more bytes never goes into one.
 BLOCK, JOINED = 1 << 20, 1 << 19
 _BASE1, _BASE2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PLACE = np.uint64((1 << 23) - 1)
@@ -206,6 +208,33 @@ def _expanded(groups: DataFrame, length: int) -> DataFrame:
     return groups.mapInArrow(run, "anchor long, seg long, a int, b int")
 
 
+def _singles(quarters: DataFrame, length: int) -> DataFrame:
+    """(h1, h2, anchor, seg, start): a 128-bit digest of each string of the quarters."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 3, 1 << 19):
+            anchor, seg, start = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            digests, times = [], []
+            for data in batch.column(3).to_pylist():
+                times.append(len(data) - length + 1)
+                digests += [hashlib.blake2b(data[s:s + length], digest_size=16).digest() for s in range(times[-1])]
+            n = np.array(times)
+            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[:, 0])), pa.array(np.ascontiguousarray(h[:, 1])), pa.array(np.repeat(anchor, n)), pa.array(np.repeat(seg, n)), pa.array(at, pa.int32())],
+                                             ["h1", "h2", "anchor", "seg", "start"])
+
+    return quarters.select("anchor", "seg", "start", "bytes").mapInArrow(run, "h1 long, h2 long, anchor long, seg long, start int")
+
+
+def _counted(quarters: DataFrame, length: int, scratch: Scratch) -> DataFrame:
+    """(anchor, seg, a, b) of groups of any size: equal strings have equal anchor places, so each stands in another segment."""
+    singles = _singles(quarters, length)
+    often = scratch.save(singles.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2"))
+    starts = singles.join(often, ["h1", "h2"]).groupBy("anchor", "seg").agg(F.collect_set("start").alias("s"))
+    ends = [F.array_sort(F.expr(f"filter(s, x -> NOT array_contains(s, x + {d}))")) for d in (-1, 1)]
+    return starts.select("anchor", "seg", F.explode(F.zip_with(*ends, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("r")).select("anchor", "seg", "r.a", "r.b")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) for each row of docs; spans: start:end of removed bytes."""
     spark = docs.sparkSession
@@ -246,9 +275,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     bytes_ = scratch.save(source.mapInArrow(cut, "anchor long, seg long, off int, cnt int, bytes binary"))
     scratch.release()
     quarters = _quarters(bytes_, length, gram)
-    crowded = quarters.select("sub").groupBy("sub").agg(F.count("*").alias("c")).where("c > 1").select("sub")
-    groups = quarters.join(crowded, "sub").repartition("sub").sortWithinPartitions("sub", "anchor", "seg")
+    crowded = scratch.save(quarters.select("sub", F.octet_length("bytes").alias("size")).groupBy("sub").agg(F.count("*").alias("c"), F.sum("size").alias("size"))
+                           .where("c > 1").select("sub", (F.col("size") > JOINED).alias("large")))
+    groups = quarters.join(crowded.where("not large").select("sub"), "sub").repartition("sub").sortWithinPartitions("sub", "anchor", "seg")
     parts = scratch.save(_expanded(groups.select("sub", "anchor", "seg", "start", "bytes"), length))
+    large = crowded.where("large").select("sub")
+    if not large.isEmpty():
+        parts = parts.union(scratch.save(_counted(quarters.join(large, "sub"), length, scratch)))
     scratch.release()
     ranges = unlike.where("n > 1").select("anchor", "seg", F.lit(0).alias("a"), (F.col("cnt") - 1).alias("b")).union(parts)
     spans = (met.where("not mixed").select("th", "lo", F.lit(0).alias("a"), (F.col("cnt") - 1).alias("b"))

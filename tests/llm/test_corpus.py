@@ -112,6 +112,32 @@ def test_suffix(spark, odd):
     assert suffix.remove_repeats(empty(spark)).count() == 0
 
 
+def test_suffix_large_group(spark, monkeypatch):
+    """A passage in many different surroundings: no transform takes the whole group, and results stay exact."""
+    random.seed(2)
+    solve, limit = suffix.repeated_starts, 4000
+
+    def bounded(texts, length):
+        assert sum(map(len, texts)) <= 2 * limit
+        return solve(texts, length)
+
+    monkeypatch.setattr(suffix, "JOINED", limit)
+    monkeypatch.setattr(suffix, "repeated_starts", bounded)
+    noise = lambda n: "".join(random.choice("abcdefghij ") for _ in range(n))
+    passage = noise(400)
+    texts = [noise(random.randint(0, 300)) + passage + (passage[:7] if i % 3 else "") + noise(random.randint(0, 300)) for i in range(80)]
+    texts += [noise(50) + noise(1) + passage[1:] + noise(50), noise(700)]
+    c = collections.Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    got = {r.doc_id: r.spans for r in suffix.remove_repeats(table(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        gone = np.zeros(len(t) + 2, int)
+        for k in range(len(t) - 399):
+            if c[t[k:k + 400]] > 1:
+                gone[k + 1:k + 401] = 1
+        edge = np.flatnonzero(np.diff(gone)).tolist()
+        assert got[i] == ",".join(f"{a}:{b}" for a, b in zip(edge[::2], edge[1::2], strict=True))
+
+
 def test_fingerprint(spark, odd):
     rows = [(i, t, lang) for i, t, lang in odd[0] if i is not None and i not in (4, 5)]
     rows.append((50, "\n".join(f"line {i}" for i in range(2000)), "en"))

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import constants as K
 from ..operators import classify as M
 from ..operators import encode, metrics, split
 from ..operators import panel as P
 from . import views as V
 from .registry import query
 
-SETTINGS = {"RF": {"numTrees": 20, "maxDepth": 6}, "LGBM": {"maxIter": 10, "maxDepth": 4}}
+MODELS = ["LogReg", "RF", "LGBM"]
 
 
 def _frames(v, horizons):
@@ -26,42 +25,43 @@ def _frames(v, horizons):
 
 def _scored(v, models, horizons):
     train, test, feats = _frames(v, horizons)
-    fitted, rows = M.fit_horizons(train, feats, horizons, "loan_key", models, SETTINGS)
+    fitted, rows = M.fit_horizons(train, feats, horizons, "loan_key", models)
     keep = ["loan_key", *[f"Target_T{h}" for h in horizons]]
-    return M.score_horizons(test, feats, fitted, keep), rows, list(fitted)
+    return M.score_horizons(test, feats, fitted, keep), rows, fitted
 
 
 def _metrics(v, models, horizons):
     wide, _, fitted = _scored(v, models, horizons)
-    long = metrics.predictions_long(wide, models, [h for _, h in fitted], ["loan_key"])
-    return metrics.binary_metrics(long, ["model", "horizon"])
+    long = metrics.predictions_long(wide, models, horizons, ["loan_key"])
+    found = metrics.binary_metrics(long, ["model", "horizon"]).withColumn("reason", F.lit(None).cast("string"))
+    return found.unionByName(v.spark.createDataFrame(M.skipped(fitted), "model string, horizon int, reason string"), allowMissingColumns=True)
 
 
 @query("logistic_horizons")
 def _(v):
-    return _metrics(v, ["LogReg"], [12, 36])
+    return _metrics(v, ["LogReg"], V.HORIZONS)
 
 
 @query("forest_horizon")
 def _(v):
-    return _metrics(v, ["RF"], [24])
+    return _metrics(v, ["RF"], V.HORIZONS)
 
 
 @query("boosted_horizon")
 def _(v):
-    return _metrics(v, ["LGBM"], [24])
+    return _metrics(v, ["LGBM"], V.HORIZONS)
 
 
 @query("feature_importance")
 def _(v):
-    train, _, feats = _frames(v, [24])
-    _, rows = M.fit_horizons(train, feats, [24], "loan_key", ["LogReg", "RF"], SETTINGS)
-    return M.importance_table(v.spark, rows)
+    train, _, feats = _frames(v, V.HORIZONS)
+    fitted, rows = M.fit_horizons(train, feats, V.HORIZONS, "loan_key", MODELS)
+    return M.importance_table(v.spark, rows, fitted)
 
 
 @query("prediction_table")
 def _(v):
-    return _scored(v, ["LogReg"], [24])[0]
+    return _scored(v, MODELS, V.HORIZONS)[0]
 
 
 STATIC = ["FICO", "LTV", "DTI", "UPB_k", "orig_rate", "LP_Purchase", "LP_NoCashRefi", "Occ_Investment", "Occ_SecondHome"]
@@ -74,7 +74,7 @@ def _hazard_model(v):
     x, hist = M.history_features(x, ("rate_incentive",))
     x = x.withColumn("cause_month", F.col("prepaid_month") + 2 * F.col("default_month"))
     feats = [*STATIC, *DYNAMIC, *hist]
-    model = M.DiscreteHazards.fit(x, feats, max_iter=15)
+    model = M.DiscreteHazards.fit(x, feats)
     return x, model
 
 

@@ -104,7 +104,7 @@ def horizon_tables(surv: DataFrame, out: str, *, horizons: Sequence[int] = tuple
     preds = stage(reports.merge_predictions(preds, cox_preds))
     tables.write_table(preds, f"{out}/C_predictions")
     evaluate(preds, [*models, "Cox"], horizons, out, "C")
-    tables.write_summary(classify.importance_table(spark, rows), f"{out}/C_feature_importance")
+    tables.write_summary(classify.importance_table(spark, rows, fitted), f"{out}/C_feature_importance")
     tables.write_metadata(spark, f"{out}/C_metadata", {
         "feature_names": feats, "horizons": list(horizons), "target_mode": target_mode, "cox": model.beta})
 

@@ -233,8 +233,8 @@ def _(v):
 
 @query("cox_fit_history")
 def _(v):
-    train, val = v.cox_rows.where("VintageYear <= 1997"), v.cox_rows.where("VintageYear = 1998")
-    model = cox.fit(train, K.COX_COVARIATES[:6], penalizer=0.001, validation=val)
+    train, val = v.cox_rows.where("VintageYear <= 1997"), v.cox_rows.where("VintageYear > 1997")
+    model = cox.fit(train, K.COX_COVARIATES, penalizer=0.001, validation=val)
     return model.history_table(v.spark)
 
 
@@ -255,7 +255,7 @@ def _(v):
 @query("fine_gray_model")
 def _(v):
     x = v.cox_rows.withColumns({"prepaid": F.col("Prepaid").cast("int"), "defaulted": F.col("CreditTerminated").cast("int")})
-    return cox.fit_fine_gray(x, K.COX_COVARIATES[:6], time="Duration", penalizer=0.1).coefficients(v.spark)
+    return cox.fit_fine_gray(x, K.COX_COVARIATES, time="Duration", penalizer=0.1).coefficients(v.spark)
 
 
 # --- discrete competing-risk evaluation ----------------------------------------------------------------

@@ -7,7 +7,8 @@ reach the bound are aligned by dynamic programming restricted to the band. Nothi
 budget can be missed.
 
 Texts are compared as UTF-8 with A-Z and accented Latin-1 letters lower-cased. Passages of fewer than `min_bytes` bytes are too common to be
-evidence and are left out. Defined results: null or empty texts and passages match nothing; repeated rows are
+evidence and are left out. Defined results: null or empty texts and passages match nothing; a passage with a null item_id is searched like any
+other and reported with a null item_id; repeated rows are
 reported each; of overlapping matches of a passage in a text the one with fewest edits stays (then the first).
 """
 
@@ -165,12 +166,17 @@ def _blocks(benchmark: DataFrame) -> list[DataFrame]:
     return [rows.where(F.pmod(F.xxhash64("item", "passage"), F.lit(n)) == k) for k in range(n)]
 
 
+def _sorted_rows(block: DataFrame) -> list[tuple[int | None, str]]:
+    """(item, passage) in order; a null item comes last."""
+    return sorted(((r.item, r.passage) for r in block.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, min_bytes: int = MIN_BYTES) -> DataFrame:
     """(doc_id, item_id, start, end, edits): one row a match; places in code points, end exclusive. A map for each block."""
     spark = docs.sparkSession
 
     def search(block: DataFrame) -> DataFrame:
-        shared = spark.sparkContext.broadcast(sorted((r.item, r.passage) for r in block.collect()))
+        shared = spark.sparkContext.broadcast(_sorted_rows(block))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Passages(shared.value, rate, min_bytes)
@@ -196,7 +202,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, m
     """The rows of docs in which no passage occurs, columns as they are; a map for each block, no shuffle."""
     at = docs.columns.index("text")
     for block in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(sorted((r.item, r.passage) for r in block.collect()))
+        shared = docs.sparkSession.sparkContext.broadcast(_sorted_rows(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Passages(shared.value, rate, min_bytes)

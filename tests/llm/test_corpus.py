@@ -279,3 +279,12 @@ def test_decontamination(spark, odd):
     assert got == {63: 150, 64: 70}
     assert decontaminate.contaminated(empty(spark), bench).count() == 0
     assert decontaminate.contaminated(odd[1], bench.where("false")).count() == 0
+
+
+def test_decontamination_null_items(spark):
+    passage = ["The committee met on a wet Tuesday to decide which of them should go.", "Nobody had expected that the bridge would be closed for so many years."]
+    docs = table(spark, [(1, passage[0], "en"), (2, passage[1], "en"), (None, passage[0], "en"), (4, "other", "en")])
+    bench = spark.createDataFrame([(None, passage[0]), (None, passage[1]), (7, passage[1]), (None, None)], "item_id long, text string")
+    got = collections.Counter((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == collections.Counter([(1, None), (None, None), (2, None), (2, 7)])
+    assert [r.doc_id for r in decontaminate.clean_documents(docs, bench).collect()] == [4]

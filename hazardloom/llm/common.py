@@ -14,12 +14,15 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 # Functions of this folder travel to the executors with the job, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules["hazardloom.llm"])
 
 #: Texts are taken out of an Arrow batch in slices of about this many bytes.
 SLICE_BYTES = 4 << 20
+#: Rows that numbered() and before() order in one task, on average.
+CELL = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,6 +65,28 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % n, F.lit(-1))
 
 
+def before(df: DataFrame, value: str, cells: list[Column], ties: list[str], name: str, by: list[str] | None = None) -> DataFrame:
+    """Adds the sum of `value` over the rows of the same `by` that come earlier in (cells, ties).
+
+    No task orders a whole group: cells are summed first, and a window works inside each of them. `df` is read
+    twice, so it must be a saved table; rows alike in all of this get places in any order.
+    """
+    by, names = by or [], [f"_cell{k}" for k in range(len(cells))]
+    df = df.withColumns(dict(zip(names, cells, strict=True)))
+    sums = df.groupBy(*by, *names).agg(F.sum(value).alias("_sum"))
+    past = W.partitionBy(*by).orderBy(*names).rowsBetween(W.unboundedPreceding, -1)
+    past = sums.select(*by, *names, F.coalesce(F.sum("_sum").over(past), F.lit(0)).alias("_past"))
+    inside = W.partitionBy(*by, *names).orderBy(*ties).rowsBetween(W.unboundedPreceding, -1)
+    out = df.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(past, [*by, *names])
+    return out.withColumn(name, F.col(name) + F.col("_past")).drop("_past", *names)
+
+
+def numbered(df: DataFrame, order: list[Column], name: str, rows: int, ties: list[str], by: list[str] | None = None) -> DataFrame:
+    """Numbers the rows of each `by` from 0 without gaps, by all but the last of `order`, then by its hash; rows: how many a `by` has."""
+    cells = [*order[:-1], F.pmod(order[-1], F.lit(rows // CELL + 1))]
+    return before(df.withColumn("_one", F.lit(1).cast("long")), "_one", cells, ties, name, by).drop("_one")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column in a row, and len + 1 offsets into them; null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

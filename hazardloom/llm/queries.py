@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardloom.llm import (decontaminate, fingerprint, jaccard, language, pieces, pii, quality, suffix,
-                            tokencount, toxicity)
+from hazardloom.llm import (collocations, decontaminate, fingerprint, jaccard, language, negatives, oracles, pieces, pii,
+                            quality, shards, suffix, tokencount, toxicity)
 from hazardloom.llm.common import crc_mod
 
 
@@ -70,5 +70,19 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "line_quality")
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_toxicity, op4_language, op5_jaccard_join, op6_token_counts, op7_decontamination, op8_pieces, op9_pii, op10_quality)}
-ORACLES: dict[str, str] = {}
+def op11_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.shard_documents(_table(spark, folder, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_toxicity, op4_language, op5_jaccard_join, op6_token_counts, op7_decontamination, op8_pieces, op9_pii, op10_quality,
+                                  op11_balanced_shards, op12_hard_negatives, op13_collocations)}
+ORACLES: dict[str, str] = {"op12_hard_negatives": oracles.OP12, "op13_collocations": oracles.OP13}

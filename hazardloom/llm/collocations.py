@@ -1,8 +1,10 @@
 """Phrase collocations from stripes: each prefix keys an associative counter of its next words.
 
 Level k counts phrases of k words. A task turns slices of whole texts into stripes (language, prefix of k - 1 words,
-next words with counts); the stripes are merged elementwise by Spark, entry by entry, so that the stripe of a very
-frequent prefix is spread over tasks and summed before it is shuffled. The merged stripes give everything: entries
+next words with counts) and Spark merges them elementwise where their prefix is dealt to, so that a shuffled entry is
+a word and a number. Stripes of prefixes that hold a thousandth of all words or more (a thousand at most) are dealt
+out in parts by their next words, that of the empty prefix as single entries summed before they are shuffled, so no
+task holds a stripe that grows with the corpus. The merged stripes give everything: entries
 are the extensions of a prefix, the total of the empty prefix's stripe is the number of words, entries of lower
 levels are the counts of both parts of a cut, and the largest entry over the stripes that extend a phrase to the
 right or to the left decides whether a longer phrase subsumes it (a phrase is never more frequent than one within it,
@@ -40,7 +42,9 @@ _LOWER[65:91] += 32
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word, 1: between words, 2: between pieces
 _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
-_STRIPE = "lang string, prefix string, next array<string>, times array<long>"
+#: Prefixes with this share of all words or more are dealt out in parts.
+HOT = 1000
+_STRIPE = "lang string, prefix string, part int, next string, times array<int>"
 _RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 
@@ -73,8 +77,12 @@ def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(prefix * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def stripes(docs: DataFrame, k: int, seen: object = None) -> DataFrame:
-    """(lang, prefix, next, times) of phrases of k words; seen: broadcast bitmap of frequent phrases of k - 1 words."""
+def stripes(docs: DataFrame, k: int, seen: object = None, hot: object = None, parts: int = 1) -> DataFrame:
+    """(lang, prefix, part, next, times) of phrases of k words: next holds words with blanks between, times their counts.
+
+    seen: broadcast bitmap of frequent phrases of k - 1 words; hot: broadcast hashes, sorted, of the prefixes whose
+    stripes are cut into `parts` by their next words.
+    """
     def of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         coded, piece, text = words(batch.column(1))
         word, known = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
@@ -85,9 +93,12 @@ def stripes(docs: DataFrame, k: int, seen: object = None) -> DataFrame:
         whole = piece[k - 1:] == piece[:len(piece) - k + 1]
         if seen is not None:
             bits = seen.value
-            h, name = _hashes(langs.dictionary.cast(pa.large_binary()))[lang], _hashes(known)[word]
+            name = _hashes(known)
+            own = _hashes(langs.dictionary.cast(pa.large_binary()))
+            h = own[lang]
             for j in range(k - 1):
-                h = _longer(h[:len(word) - j], name[j:])
+                h = _longer(h[:len(word) - j], name[word[j:]])
+            whole_hash = h
             mask = np.uint64(len(bits) * 64 - 1)
             hit = (bits[(h & mask) >> np.uint64(6)] >> (h & np.uint64(63))) & np.uint64(1) == 1
             whole &= hit[:-1] & hit[1:]
@@ -99,16 +110,26 @@ def stripes(docs: DataFrame, k: int, seen: object = None) -> DataFrame:
         for j in range(k - 1):
             prefix = np.unique(prefix * size + word[at + j], return_inverse=True)[1]
         key, one, times = np.unique(prefix * size + word[at + k - 1], return_index=True, return_counts=True)
-        new = np.flatnonzero(np.concatenate([[True], key[1:] // size != key[:-1] // size]))
+        group, follows = key // size, key % size
+        part = np.zeros(len(key), np.int64)
+        if hot is not None and len(hot.value):
+            h = whole_hash[at[one]]
+            is_hot = hot.value[np.searchsorted(hot.value, h).clip(max=len(hot.value) - 1)] == h
+            part[is_hot] = 1 + (name[follows[is_hot]] % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((part, group))
+            group, follows, part, one, times = (x[order] for x in (group, follows, part, one, times))
+        new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (part[1:] != part[:-1])]))
         head = at[one[new]]
         text_of = known.cast(pa.large_string())
-        parts = [text_of.take(pa.array(word[head + j])) for j in range(k - 1)]
-        joined = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if k > 2 else parts[0] if k == 2 else pa.array([""] * len(head), pa.large_string())
-        cuts = pa.array(np.append(new, len(key)).astype(np.int32))
+        blank = pa.scalar(" ", pa.large_string())
+        firsts = [text_of.take(pa.array(word[head + j])) for j in range(k - 1)]
+        joined = pc.binary_join_element_wise(*firsts, blank) if k > 2 else firsts[0] if k == 2 else pa.array([""] * len(head), pa.large_string())
+        cuts = np.append(new, len(key))
+        nexts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts), text_of.take(pa.array(follows))), blank)
         return pa.RecordBatch.from_arrays(
-            [langs.dictionary.take(pa.array(lang[head])).cast(pa.string()), joined.cast(pa.string()),
-             pa.ListArray.from_arrays(cuts, text_of.take(pa.array(key % size)).cast(pa.string())), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))],
-            ["lang", "prefix", "next", "times"])
+            [langs.dictionary.take(pa.array(lang[head])).cast(pa.string()), joined.cast(pa.string()), pa.array(part[new], pa.int32()), nexts.cast(pa.string()),
+             pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(times, pa.int32()))],
+            ["lang", "prefix", "part", "next", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, SLICE):
@@ -119,16 +140,27 @@ def stripes(docs: DataFrame, k: int, seen: object = None) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(run, _STRIPE)
 
 
-def merged(parts: DataFrame) -> DataFrame:
-    """(lang, prefix, next, f): stripes added elementwise."""
-    entry = F.explode(F.arrays_zip("next", "times")).alias("e")
-    return parts.select("lang", "prefix", entry).groupBy("lang", "prefix", F.col("e.next").alias("next")).agg(F.sum("e.times").alias("f"))
+def merged(dealt: DataFrame, k: int) -> DataFrame:
+    """(lang, prefix, next, f): stripes added elementwise; from k = 2 on where their prefixes (or parts) have been dealt to."""
+    entry = F.explode(F.arrays_zip(F.split("next", " ").alias("next"), "times")).alias("e")
+    if k > 1:
+        dealt = dealt.repartition("lang", "prefix", "part")
+    return (dealt.select("lang", "prefix", "part", entry).groupBy("lang", "prefix", "part", F.col("e.next").alias("next"))
+            .agg(F.sum("e.times").alias("f")).drop("part"))
 
 
 def _phrase(prefix: str = "prefix") -> Column:
     return F.when(F.col(prefix) == "", F.col("next")).otherwise(F.concat_ws(" ", prefix, "next"))
 
 
+def _phrase_hashes(lang: pa.Array, phrase: pa.Array, k: int) -> np.ndarray:
+    h = _hashes(lang.cast(pa.large_binary()))
+    parts = _hashes(pc.list_flatten(pc.split_pattern(phrase, " ")).cast(pa.large_binary())).reshape(-1, k)
+    for j in range(k):
+        h = _longer(h, parts[:, j])
+    return h
+
+
 def bitmap(frequent: DataFrame, k: int, rows: int) -> np.ndarray:
     """Bits of the hashes of frequent phrases (lang, phrase) of k words: about 16 for each, 2^27 at most."""
     size = 1 << min(BITS, max(10, (16 * rows - 1).bit_length()))
@@ -137,11 +169,7 @@ def bitmap(frequent: DataFrame, k: int, rows: int) -> np.ndarray:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h = _hashes(batch.column(0).cast(pa.large_binary()))
-            parts = _hashes(pc.list_flatten(pc.split_pattern(batch.column(1), " ")).cast(pa.large_binary())).reshape(-1, k)
-            for j in range(k):
-                h = _longer(h, parts[:, j])
-            h &= np.uint64(size - 1)
+            h = _phrase_hashes(batch.column(0), batch.column(1), k) & np.uint64(size - 1)
             slot, which = np.unique(h >> np.uint64(6), return_inverse=True)
             bits = np.zeros(len(slot), np.uint64)
             np.bitwise_or.at(bits, which, np.uint64(1) << (h & np.uint64(63)))
@@ -153,6 +181,14 @@ def bitmap(frequent: DataFrame, k: int, rows: int) -> np.ndarray:
     return out
 
 
+def hot_prefixes(frequent: DataFrame, k: int, words_: int) -> np.ndarray:
+    """Sorted hashes of the phrases of k words with a thousandth of all words or more."""
+    found = frequent.where(F.col("f") * HOT >= words_).select("lang", "phrase").toArrow().combine_chunks()
+    if not found.num_rows:
+        return np.zeros(0, np.uint64)
+    return np.sort(_phrase_hashes(*(c.combine_chunks() for c in found.columns), k))
+
+
 def scored(levels: list[DataFrame], totals: DataFrame) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the candidates in the levels from 2 on, by their lowest-scoring cut."""
     every = levels[0]
@@ -196,23 +232,28 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     spark = docs.sparkSession
     scratch = Scratch(spark, "collocations")
     levels: list[DataFrame] = []
-    totals, seen = None, None
+    totals, seen, hot, size = None, None, None, 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for k in range(1, longest + 1):
-        counted = merged(stripes(docs, k, seen))
+        counted = merged(stripes(docs, k, seen, hot, parts), k)
         if k == 1:
             counted = scratch.save(counted)
             totals = scratch.save(counted.groupBy("lang").agg(F.sum("f").alias("n")))
         frequent = scratch.save(counted.where(F.col("f") >= least).withColumn("phrase", _phrase()))
         if k == 1:
             scratch.drop(counted)
+            size = totals.agg(F.sum("n")).first()[0] or 0
+        scratch.release()
         if seen is not None:
             seen.destroy()
+            hot.destroy()
         rows = frequent.count()
         if not rows:
             break
         levels.append(frequent)
         if k < longest:
             seen = spark.sparkContext.broadcast(bitmap(frequent, k, rows))
+            hot = spark.sparkContext.broadcast(hot_prefixes(frequent, k, size))
     if len(levels) < 2:
         return spark.createDataFrame([], _RESULT)
     found = scored(levels, totals).join(subsumers(levels[1:]), ["lang", "phrase"], "left")

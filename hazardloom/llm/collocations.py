@@ -2,9 +2,9 @@
 
 Level k counts phrases of k words. A task turns slices of whole texts into stripes (language, prefix of k - 1 words,
 next words with counts) and Spark merges them elementwise where their prefix is dealt to, so that a shuffled entry is
-a word and a number. Stripes of prefixes that hold a thousandth of all words or more (a thousand at most) are dealt
-out in parts by their next words, that of the empty prefix as single entries summed before they are shuffled, so no
-task holds a stripe that grows with the corpus. The merged stripes give everything: entries
+a word and a number. With P shuffle partitions, a prefix with more than a P-th of all words (P prefixes at most) is
+dealt out in parts by its next words, as many as it has P-ths; the empty prefix as single entries summed before they
+are shuffled. So no task gets much more than its share. The merged stripes give everything: entries
 are the extensions of a prefix, the total of the empty prefix's stripe is the number of words, entries of lower
 levels are the counts of both parts of a cut, and the largest entry over the stripes that extend a phrase to the
 right or to the left decides whether a longer phrase subsumes it (a phrase is never more frequent than one within it,
@@ -42,8 +42,6 @@ _LOWER[65:91] += 32
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word, 1: between words, 2: between pieces
 _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
-#: Prefixes with this share of all words or more are dealt out in parts.
-HOT = 1000
 _STRIPE = "lang string, prefix string, part int, next string, times array<int>"
 _RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
@@ -77,11 +75,11 @@ def _longer(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(prefix * np.uint64(0x9E3779B97F4A7C15) + word)
 
 
-def stripes(docs: DataFrame, k: int, seen: object = None, hot: object = None, parts: int = 1) -> DataFrame:
+def stripes(docs: DataFrame, k: int, seen: object = None, hot: object = None) -> DataFrame:
     """(lang, prefix, part, next, times) of phrases of k words: next holds words with blanks between, times their counts.
 
-    seen: broadcast bitmap of frequent phrases of k - 1 words; hot: broadcast hashes, sorted, of the prefixes whose
-    stripes are cut into `parts` by their next words.
+    seen: broadcast bitmap of frequent phrases of k - 1 words; hot: broadcast (hashes, sorted, of prefixes whose
+    stripes are cut by their next words, in how many parts).
     """
     def of(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         coded, piece, text = words(batch.column(1))
@@ -112,10 +110,12 @@ def stripes(docs: DataFrame, k: int, seen: object = None, hot: object = None, pa
         key, one, times = np.unique(prefix * size + word[at + k - 1], return_index=True, return_counts=True)
         group, follows = key // size, key % size
         part = np.zeros(len(key), np.int64)
-        if hot is not None and len(hot.value):
+        if hot is not None and len(hot.value[0]):
+            names, parts = hot.value
             h = whole_hash[at[one]]
-            is_hot = hot.value[np.searchsorted(hot.value, h).clip(max=len(hot.value) - 1)] == h
-            part[is_hot] = 1 + (name[follows[is_hot]] % np.uint64(parts)).astype(np.int64)
+            which = np.searchsorted(names, h).clip(max=len(names) - 1)
+            is_hot = names[which] == h
+            part[is_hot] = (name[follows[is_hot]] % parts[which[is_hot]]).astype(np.int64)
             order = np.lexsort((part, group))
             group, follows, part, one, times = (x[order] for x in (group, follows, part, one, times))
         new = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]) | (part[1:] != part[:-1])]))
@@ -181,12 +181,14 @@ def bitmap(frequent: DataFrame, k: int, rows: int) -> np.ndarray:
     return out
 
 
-def hot_prefixes(frequent: DataFrame, k: int, words_: int) -> np.ndarray:
-    """Sorted hashes of the phrases of k words with a thousandth of all words or more."""
-    found = frequent.where(F.col("f") * HOT >= words_).select("lang", "phrase").toArrow().combine_chunks()
+def hot_prefixes(frequent: DataFrame, k: int, total: int, shares: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sorted, of the phrases of k words that hold over 1/shares of all words, how many such shares); at most `shares`."""
+    found = frequent.where(F.col("f") * shares > total).select("lang", "phrase", F.ceil(F.col("f") * shares / total).cast("long").alias("p")).toArrow().combine_chunks()
     if not found.num_rows:
-        return np.zeros(0, np.uint64)
-    return np.sort(_phrase_hashes(*(c.combine_chunks() for c in found.columns), k))
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    h = _phrase_hashes(found.column(0).combine_chunks(), found.column(1).combine_chunks(), k)
+    order = np.argsort(h)
+    return h[order], found.column(2).to_numpy().astype(np.uint64)[order]
 
 
 def scored(levels: list[DataFrame], totals: DataFrame) -> DataFrame:
@@ -233,9 +235,9 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     scratch = Scratch(spark, "collocations")
     levels: list[DataFrame] = []
     totals, seen, hot, size = None, None, None, 0
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for k in range(1, longest + 1):
-        counted = merged(stripes(docs, k, seen, hot, parts), k)
+        counted = merged(stripes(docs, k, seen, hot), k)
         if k == 1:
             counted = scratch.save(counted)
             totals = scratch.save(counted.groupBy("lang").agg(F.sum("f").alias("n")))
@@ -253,7 +255,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
         levels.append(frequent)
         if k < longest:
             seen = spark.sparkContext.broadcast(bitmap(frequent, k, rows))
-            hot = spark.sparkContext.broadcast(hot_prefixes(frequent, k, size))
+            hot = spark.sparkContext.broadcast(hot_prefixes(frequent, k, size, shares))
     if len(levels) < 2:
         return spark.createDataFrame([], _RESULT)
     found = scored(levels, totals).join(subsumers(levels[1:]), ["lang", "phrase"], "left")

@@ -17,7 +17,7 @@ from ..sources.staging import stage
 from . import curves
 from .metrics import concordance
 from .ordered import quantiles
-from .partial_likelihood import Evaluation, Model, evaluate, month_sums
+from .partial_likelihood import Evaluation, Factor, Model, evaluate, month_sums
 
 Z95 = curves.Z95
 
@@ -44,6 +44,7 @@ class CoxFit:
     concordance: float | None = None
     label: str = "cox"
     converged: bool = True
+    best: int | None = None   # step with the best validation likelihood, when that was asked for
 
     @property
     def beta(self) -> dict[str, float]:
@@ -90,20 +91,26 @@ class CoxFit:
 
     def history_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
-            [(h["iteration"], h["loglik"], h.get("val_loglik"), h["max_step"]) for h in self.history],
-            "iteration int, train_loglik double, val_loglik double, max_step double")
+            [(h["iteration"], h["loglik"], h.get("val_loglik"), h["max_step"],
+              None if self.best is None else h["iteration"] == self.best) for h in self.history],
+            "iteration int, train_loglik double, val_loglik double, max_step double, best boolean")
 
 
-def _fit_space(df, covariates, time, events, weight):
+def _fit_space(df, covariates, factors, events):
+    """(n, events, mean, scale, deviation): indicators of factors are neither centred nor scaled,
+    but their deviation is known for the ridge term."""
     aggs = [F.count("*").alias("n")]
     aggs += [F.sum(F.col(e).cast("bigint")).alias(f"ev{i}") for i, e in enumerate(events)]
     aggs += [F.avg(c).alias(f"m{i}") for i, c in enumerate(covariates)]
     aggs += [F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(covariates)]
+    hits = [F.stddev_samp((F.col(f.column) == k).cast("double")) for f in factors for k in range(1, len(f.names) + 1)]
+    aggs += [h.alias(f"d{i}") for i, h in enumerate(hits)]
     r = df.agg(*aggs).collect()[0]
     p = len(covariates)
-    mean = np.array([r[f"m{i}"] for i in range(p)], float)
-    scale = np.array([r[f"s{i}"] or 1.0 for i in range(p)], float)
-    return r["n"], [r[f"ev{i}"] for i in range(len(events))], mean, scale
+    mean = np.array([r[f"m{i}"] for i in range(p)] + [0.0] * len(hits), float)
+    scale = np.array([r[f"s{i}"] or 1.0 for i in range(p)] + [1.0] * len(hits), float)
+    deviation = np.array([1.0] * p + [r[f"d{i}"] or 1.0 for i in range(len(hits))], float)
+    return r["n"], [r[f"ev{i}"] for i in range(len(events))], mean, scale, deviation
 
 
 def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Mapping[str, str],
@@ -111,27 +118,35 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
              weight: str | None = None, competing: str | None = None,
              censoring: Callable[[int], float] | None = None, max_iter: int = 30,
              tol: float = 1e-9, validation: DataFrame | None = None,
-             penalty_scale: str = "standardised", staged: bool = True) -> dict[str, CoxFit]:
+             penalty_scale: str = "standardised", staged: bool = True, patience: int | None = None,
+             factors: Sequence[Factor] = ()) -> dict[str, CoxFit]:
     """Fit one model per event column; every Newton step is one pass shared by all models.
 
     Covariates are centred and scaled internally. The ridge term is n·penalizer/2·Σβ², on the
     standardised coefficients by default or on the raw ones. `start` makes rows counting-process
     intervals (start, time]. `competing` with `censoring` keeps competing exits at risk with
-    weight G(t)/G(s).
+    weight G(t)/G(s). `factors` add mutually exclusive indicators held as integer columns.
+
+    With `validation`, its partial log-likelihood is taken after every step. With `patience` too, a
+    model ends once that many steps in a row have not raised it, and the best step's state is
+    returned (`best` is its number, the first of equals).
     """
-    covariates, names = list(covariates), list(events)
-    keep = [time, *dict.fromkeys(events.values()), *covariates, *[c for c in (start, weight, competing) if c]]
+    covariates, names, factors = list(covariates), list(events), list(factors)
+    columns = [*covariates, *[f.column for f in factors]]
+    p = len(covariates) + sum(len(f.names) for f in factors)
+    keep = [time, *dict.fromkeys(events.values()), *columns, *[c for c in (start, weight, competing) if c]]
     rows = df.select(*dict.fromkeys(keep))
     if staged:
         rows = stage(rows)  # every iteration reads it; only beta changes between plans
     # after the lineage cut: a null filter over many derived columns makes constraint
     # inference explode when it sits on top of their projection
-    rows = rows.dropna(subset=[time, *covariates])
+    rows = rows.dropna(subset=[time, *columns])
     if validation is not None:
-        validation = stage(validation.select(*dict.fromkeys(keep))).dropna(subset=[time, *covariates])
-    n, n_ev, mean, scale = _fit_space(rows, covariates, time, list(events.values()), weight)
-    ridge = penalizer * n * (np.ones(len(covariates)) if penalty_scale == "standardised" else 1.0 / scale ** 2)
-    beta = {m: np.zeros(len(covariates)) for m in names}
+        validation = stage(validation.select(*dict.fromkeys(keep))).dropna(subset=[time, *columns])
+    n, n_ev, mean, scale, deviation = _fit_space(rows, covariates, factors, list(events.values()))
+    ridge = penalizer * n * (deviation ** 2 if penalty_scale == "standardised" else 1.0 / scale ** 2)
+    beta = {m: np.zeros(p) for m in names}
+    best: dict[str, tuple] = {}   # model: (validation likelihood, step, coefficients, state)
     state: dict[str, tuple] = {}
     trial = dict(beta)
     open_ = list(names)
@@ -141,7 +156,8 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
 
     def sums_at(frame, which, values):
         return month_sums(frame, covariates, [Model(events[m], values[m]) for m in which], time=time,
-                          start=start, weight=weight, competing=competing, center=mean, scale=scale)
+                          start=start, weight=weight, competing=competing, factors=factors,
+                          center=mean[:len(covariates)], scale=scale[:len(covariates)])
 
     for iteration in range(max_iter + 1):
         for m, s in zip(open_, sums_at(rows, open_, trial)):
@@ -159,13 +175,19 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
             beta[m], state[m], halvings[m] = trial[m].copy(), (ev, pll), 0
             history[m].append({"iteration": len(history[m]), "loglik": float(ev.loglik),
                                "max_step": float(np.abs(step).max()) if len(history[m]) else math.nan})
-        if validation is not None:
-            for m, s in zip(open_, sums_at(validation, open_, beta)):
-                history[m][-1]["val_loglik"] = float(evaluate(s, beta[m], ties, censoring).loglik)
+        moved = [m for m in open_ if m not in stuck and "val_loglik" not in history[m][-1]]
+        if validation is not None and moved:
+            for m, s in zip(moved, sums_at(validation, moved, beta)):
+                val = float(evaluate(s, beta[m], ties, censoring).loglik)
+                history[m][-1]["val_loglik"] = val
+                if m not in best or val > best[m][0]:
+                    best[m] = (val, history[m][-1]["iteration"], beta[m].copy(), state[m])
         still = []
         for m in open_:
             if m in stuck:
                 continue
+            if patience is not None and m in best and history[m][-1]["iteration"] - best[m][1] >= patience:
+                continue
             ev = state[m][0]
             g = ev.score - ridge * beta[m]
             h = ev.hessian - np.diag(ridge)
@@ -181,23 +203,27 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
 
     out = {}
     for i, m in enumerate(names):
+        chosen = patience is not None and m in best
+        if chosen:
+            _, _, beta[m], state[m] = best[m]
         ev, pll = state[m]
         var = np.linalg.inv(-(ev.hessian - np.diag(ridge))) / np.outer(scale, scale)
-        out[m] = CoxFit(covariates, beta[m] / scale, var, mean, scale, float(ev.loglik), float(pll), n,
+        out[m] = CoxFit([*covariates, *[x for f in factors for x in f.names]], beta[m] / scale, var, mean, scale, float(ev.loglik), float(pll), n,
                         int(n_ev[i] or 0), penalizer, ties, time, events[m], ev, history[m], label=m,
-                        converged=m not in open_ and m not in stuck)
+                        converged=m not in open_ and m not in stuck, best=best[m][1] if chosen else None)
     return out
 
 
 def fit(df: DataFrame, covariates: Sequence[str], *, time: str = "Duration",
         event: str = "Event_Prepay", label: str = "cox", with_concordance: bool = False, **kw) -> CoxFit:
     """Single-event Cox fit over all rows."""
-    keep = list(dict.fromkeys([time, event, *covariates, *[kw[c] for c in ("start", "weight", "competing") if kw.get(c)]]))
-    rows = stage(df.select(*keep)).dropna(subset=[time, *covariates]) if with_concordance else df
+    columns = [*covariates, *[f.column for f in kw.get("factors", ())]]
+    keep = list(dict.fromkeys([time, event, *columns, *[kw[c] for c in ("start", "weight", "competing") if kw.get(c)]]))
+    rows = stage(df.select(*keep)).dropna(subset=[time, *columns]) if with_concordance else df
     model = fit_many(rows, covariates, time=time, events={label: event},
                      staged=not with_concordance, **kw)[label]
     if with_concordance:
-        scored = rows.withColumn("__risk", log_hazard(model.beta))
+        scored = with_indicators(rows, kw.get("factors", ())).withColumn("__risk", log_hazard(model.beta))
         model.concordance = concordance(scored, time, event, "__risk").collect()[0]["c_index"]
     return model
 
@@ -213,6 +239,11 @@ def at_fixed(df: DataFrame, beta: Mapping[str, float], *, time: str, event: str,
     return evaluate(s, b, ties, censoring)
 
 
+def with_indicators(df: DataFrame, factors: Sequence[Factor]) -> DataFrame:
+    """The indicators of factors as columns, for scoring."""
+    return df.withColumns({name: (F.col(f.column) == k).cast("double") for f in factors for k, name in enumerate(f.names, 1)})
+
+
 def log_hazard(beta: Mapping[str, float]):
     return C.linear_score(beta)
 
@@ -351,6 +382,21 @@ def divergence(df: DataFrame, a: str, b: str, strong: float = 0.05, gap: float =
 
 
 # --- nonlinear basis --------------------------------------------------------------------------
+def bin_factors(df: DataFrame, columns: Sequence[str], bins: int = 4, fit_on=None) -> tuple[DataFrame, list[Factor]]:
+    """Quantile bins of the given columns as factors: code i holds values above the i-th edge and
+    not above the next. Repeated edges are dropped; a NULL value has no code."""
+    rows = df if fit_on is None else df.where(fit_on)
+    found = {r["column"]: sorted(set(r["q"])) for r in quantiles(rows, columns, [i / bins for i in range(1, bins)]).collect()}
+    out, factors = {}, []
+    for c in columns:
+        code = F.lit(0)
+        for edge in found.get(c, []):
+            code = code + (F.col(c) > F.lit(edge)).cast("int")
+        out[f"{c}__bin"] = code
+        factors.append(Factor(f"{c}__bin", [f"{c}__b{i}" for i in range(1, len(found.get(c, [])) + 1)]))
+    return df.withColumns(out), factors
+
+
 def expand_basis(df: DataFrame, columns: Sequence[str], bins: int = 4, squares: bool = True,
                  interactions: bool = True, fit_on=None) -> tuple[DataFrame, list[str]]:
     """Quantile-bin indicators, squares and pairwise products of the given columns.

@@ -1,5 +1,6 @@
-"""SQL text of Cox fits with two covariates: Newton steps written out as common table
-expressions. Used only to check the library's fits."""
+"""SQL text of fits, written out as common table expressions and used only to check the library's:
+Cox fits with two covariates, and Cox and logistic fits with any number of covariates held in a
+list column, where each Newton step is solved by elimination on a list of lists."""
 
 from __future__ import annotations
 
@@ -62,3 +63,89 @@ def coef_rows(names: tuple[str, str], fin: str = "fin") -> str:
     base = " union all ".join(one.format(n=n, i=i, fin=fin) for i, n in enumerate(names, 1))
     return (f"select covariate, coef, exp(coef) as hazard_ratio, se, coef - {z} * se as coef_lower, coef + {z} * se as coef_upper, "
             f"exp(coef - {z} * se) as hr_lower, exp(coef + {z} * se) as hr_upper, coef / se as z from ({base})")
+
+
+# --- any number of covariates: rows hold them in a list x ----------------------------------------------
+def _eliminated(matrix: str) -> str:
+    """Gauss-Jordan on `matrix` (one row: m, a list of p rows of p + q numbers); gives m with the unit matrix in front."""
+    return f"""with recursive g(k, m) as (select 1, m from {matrix} union all
+        select k + 1, list_transform(m, lambda r, i: case when i = k then list_transform(r, lambda v: v / r[k])
+            else list_transform(r, lambda v, j: v - r[k] / m[k][k] * m[k][j]) end) from g where k <= len(m))
+        select m from g where k > len(m)"""
+
+
+def _standardised(rows: str, more: str = "") -> dict[str, str]:
+    return {"st": f"""select list(m order by i) as m, list(s order by i) as s, max(n) as n, count(*) as p from (select i, avg(v) as m, coalesce(nullif(stddev_samp(v), 0), 1) as s, count(*) as n
+                from (select unnest(x) as v, generate_subscripts(x, 1) as i from {rows}) group by i)""",
+            "ij": "select i, j from (select p, unnest(range(1, p + 1)) as i from st), lateral (select unnest(range(i, p + 1)) as j)",
+            "zz": f"select t, e, w{more}, list_transform(x, lambda v, i: (v - m[i]) / s[i]) as z from {rows}, st"}
+
+
+def _cox_sums(tag: str, rows: str, beta: str, cumulative: bool, ties: str, competing: bool) -> dict[str, str]:
+    """Month sums a (risk), v (first) and q (second moments) of `rows` at `beta`, and the tie sums tt."""
+    over = "over (partition by {} order by t desc)" if cumulative else "over (partition by {}, t)"
+    f = "l / d::double" if ties == "efron" else "0e0"
+    moment = {"a": ("1 as one", "r", "w"), "v": ("i", "r * y", "w * y"), "q": ("i, j", "r * y", "w * y")}
+    out = {f"r{tag}": f"select *, w * exp(list_inner_product(z, b)) as r from {rows}, {beta}"}
+    source = {"a": f"(select *, 1 as one from r{tag})", "v": f"(select t, e, w, r{', c' if competing else ''}, unnest(z) as y, generate_subscripts(z, 1) as i from r{tag})",
+              "q": f"(select t, e, w, r{', c' if competing else ''}, z[i] * z[j] as y, i, j from r{tag}, ij)"}
+    for name, (_, r, w) in moment.items():
+        keys = {"a": "one", "v": "i", "q": "i, j"}[name]
+        late = f", sum(case when c = 1 then {r} else 0 end) as c_" if competing else ""
+        out[f"{name}0{tag}"] = f"""select t, {keys}, sum({r}) as s_, sum(case when e = 1 then {r} else 0 end) as es, sum(case when e = 1 then {w} else 0 end) as g,
+            count(*) filter (e = 1) as d{late} from {source[name]} group by t, {keys}"""
+        if competing:  # exits by the other cause stay with weight G(t) / G(s)
+            out[f"{name}1{tag}"] = f"""select x.*, G * coalesce(sum(case when G > 0 then c_ / G else 0 end) over (partition by {keys} order by x.t rows between unbounded preceding and 1 preceding), 0)
+                + sum(s_) over (partition by {keys} order by x.t desc) as s from {name}0{tag} x join gg on gg.t = x.t"""
+        else:
+            out[f"{name}1{tag}"] = f"select *, sum(s_) {over.format(keys)} as s from {name}0{tag}"
+    out[f"tt{tag}"] = f"""select t, max(g / d) as wbar, max(d) as d, max(g) as wd, max(s) as risk, sum(ln(phi)) as s0, sum(1 / phi) as s1, sum(f / phi) as f1, sum(1 / (phi * phi)) as q,
+        sum(f / (phi * phi)) as g1, sum(f * f / (phi * phi)) as g2 from (select *, {f} as f, s - {f} * es as phi from a1{tag} x, unnest(range(0, d)) u(l) where d > 0) group by t"""
+    out[f"ll{tag}"] = f"""select (select sum(g * b[i]) from v1{tag}, {beta}) - (select sum(wbar * s0) from tt{tag}) as loglik, (select sum(d) from tt{tag})::bigint as n_events"""
+    return out
+
+
+def _cox_step(tag: str, ridge: str, beta: str) -> dict[str, str]:
+    return {f"u{tag}": f"select i, sum(g - wbar * (s1 * s - f1 * es)) as u from v1{tag} join tt{tag} using (t) group by i",
+            f"h{tag}": f"""select i, j, sum(wbar * (s1 * c.s - f1 * c.es - (q * x.s * y.s - g1 * (x.s * y.es + x.es * y.s) + g2 * x.es * y.es))) as h
+                from q1{tag} c join tt{tag} k on k.t = c.t join v1{tag} x on x.t = c.t and x.i = c.i join v1{tag} y on y.t = c.t and y.i = c.j group by c.i, c.j""".replace("select i, j,", "select c.i, c.j,"),
+            **_solved(tag, ridge, beta)}
+
+
+def _solved(tag: str, ridge: str, beta: str) -> dict[str, str]:
+    """hr: rows of the ridged information; be<next> and, for the variance, in: its inverse."""
+    return {f"hr{tag}": f"""select i, list(h + case when i = j then {ridge} else 0 end order by j) as r from (select i, j, h from h{tag} union all select j, i, h from h{tag} where i <> j), st group by i""",
+            f"mm{tag}": f"select list(list_append(r, u - {ridge} * b[x.i]) order by x.i) as m from hr{tag} x join u{tag} y on x.i = y.i, {beta}, st"}
+
+
+def newton_lists(rows: str, steps: int = 7, penalizer: float = 0.0, ties: str = "efron", cumulative: bool = True,
+                 competing: bool = False, validation: str | None = None) -> dict[str, str]:
+    """CTEs of a Cox fit on `rows` (t, e, w, x; with `competing` also c, and a table gg of t, G): ends in coefs
+    (i, b, se) and ll<k>; with `validation` rows, vl<k> holds their likelihood at step k."""
+    ridge = f"({penalizer!r} * n)"
+    out = {**_standardised(rows, ", c" if competing else ""), "be0": "select list_transform(range(0, p), lambda i: 0e0) as b from st"}
+    if validation:
+        out["zv"] = f"select t, e, w, list_transform(x, lambda v, i: (v - m[i]) / s[i]) as z from {validation}, st"
+    for k in range(steps + 1):
+        out.update(_cox_sums(f"_{k}", "zz", f"be{k}", cumulative, ties, competing))
+        out.update(_cox_step(f"_{k}", ridge, f"be{k}"))
+        if validation:
+            out.update(_cox_sums(f"_v{k}", "zv", f"be{k}", cumulative, ties, False))
+        if k < steps:
+            out[f"so{k}"] = _eliminated(f"mm_{k}")
+            out[f"be{k + 1}"] = f"select list_transform(b, lambda v, i: v + m[i][len(m) + 1]) as b from be{k}, so{k}"
+    out.update(_variance(f"_{steps}", f"be{steps}"))
+    return out
+
+
+def _variance(tag: str, beta: str, name: str = "coefs") -> dict[str, str]:
+    return {f"un{name}": f"select list(list_concat(r, list_transform(range(1, p + 1), lambda j: case when j = i then 1e0 else 0e0 end)) order by i) as m from hr{tag}, st",
+            f"in{name}": _eliminated(f"un{name}"),
+            name: f"select i, b[i] / st.s[i] as b, sqrt(v.m[i][len(v.m) + i]) / st.s[i] as se from (select unnest(range(1, p + 1)) as i from st), st, {beta}, in{name} v"}
+
+
+def list_coef_rows(names, coefs: str = "coefs") -> str:
+    z = "1.959963984540054e0"
+    label = "[" + ", ".join(f"'{n}'" for n in names) + "]"
+    return (f"select {label}[i] as covariate, b as coef, exp(b) as hazard_ratio, se, b - {z} * se as coef_lower, b + {z} * se as coef_upper, "
+            f"exp(b - {z} * se) as hr_lower, exp(b + {z} * se) as hr_upper, b / se as z from {coefs}")

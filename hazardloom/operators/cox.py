@@ -119,7 +119,7 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
              censoring: Callable[[int], float] | None = None, max_iter: int = 30,
              tol: float = 1e-9, validation: DataFrame | None = None,
              penalty_scale: str = "standardised", staged: bool = True, patience: int | None = None,
-             factors: Sequence[Factor] = ()) -> dict[str, CoxFit]:
+             min_gain: float = 1e-9, factors: Sequence[Factor] = ()) -> dict[str, CoxFit]:
     """Fit one model per event column; every Newton step is one pass shared by all models.
 
     Covariates are centred and scaled internally. The ridge term is n·penalizer/2·Σβ², on the
@@ -128,8 +128,8 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
     weight G(t)/G(s). `factors` add mutually exclusive indicators held as integer columns.
 
     With `validation`, its partial log-likelihood is taken after every step. With `patience` too, a
-    model ends once that many steps in a row have not raised it, and the best step's state is
-    returned (`best` is its number, the first of equals).
+    model ends once that many steps in a row have not raised it by more than the share `min_gain`,
+    and the best step's state is returned (`best` is its number, the first of equals).
     """
     covariates, names, factors = list(covariates), list(events), list(factors)
     columns = [*covariates, *[f.column for f in factors]]
@@ -180,7 +180,7 @@ def fit_many(df: DataFrame, covariates: Sequence[str], *, time: str, events: Map
             for m, s in zip(moved, sums_at(validation, moved, beta)):
                 val = float(evaluate(s, beta[m], ties, censoring).loglik)
                 history[m][-1]["val_loglik"] = val
-                if m not in best or val > best[m][0]:
+                if m not in best or val > best[m][0] + min_gain * abs(best[m][0]):
                     best[m] = (val, history[m][-1]["iteration"], beta[m].copy(), state[m])
         still = []
         for m in open_:
@@ -230,12 +230,13 @@ def fit(df: DataFrame, covariates: Sequence[str], *, time: str = "Duration",
 
 def at_fixed(df: DataFrame, beta: Mapping[str, float], *, time: str, event: str, ties: str = "efron",
              start: str | None = None, weight: str | None = None, competing: str | None = None,
-             censoring=None, native: bool | None = None) -> Evaluation:
-    """Likelihood, score and Hessian at given raw-unit coefficients."""
+             censoring=None, native: bool | None = None, factors: Sequence[Factor] = ()) -> Evaluation:
+    """Likelihood, score and Hessian at given raw-unit coefficients, those of factors last."""
     names = list(beta)
     b = np.array([beta[n] for n in names], float)
-    (s,) = month_sums(df, names, [Model(event, b)], time=time, start=start, weight=weight,
-                      competing=competing, native=native)
+    coded = {n for f in factors for n in f.names}
+    (s,) = month_sums(df, [n for n in names if n not in coded], [Model(event, b)], time=time, start=start,
+                      weight=weight, competing=competing, native=native, factors=factors)
     return evaluate(s, b, ties, censoring)
 
 

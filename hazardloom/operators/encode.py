@@ -206,7 +206,10 @@ def macro_z(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_medians(df: DataFrame, columns: Sequence[str], *, fit_on=None) -> DataFrame:
-    """Median imputation of several columns with medians of the fitting rows."""
-    med = {r["column"]: r["median"] for r in medians(_fit_rows(df, fit_on), columns).collect()}
+    """Median imputation of several columns with medians of the fitting rows. Only columns that have
+    a NULL are brought to the exact quantiles; one aggregate tells which."""
+    gaps = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).collect()[0]
+    some = [c for c in columns if gaps[c]]
+    med = {r["column"]: r["median"] for r in medians(_fit_rows(df, fit_on), some).collect()} if some else {}
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med.get(c)).cast("double"))
-                           for c in columns})
+                           if c in some else F.col(c).cast("double") for c in columns})

@@ -176,11 +176,6 @@ def _(v):
     return M.horizon_incidence_metrics(x, V.HORIZONS, "duration", "event_type", 1)
 
 
-@query("best_iteration", """select model, arg_min(horizon, brier) as best, min(brier) as best_loss from ms where stratum_type = 'all' group by 1""", ("long",), "best_loss", extra=STRAT)
-def _(v):
-    return reports.best_iteration(_strat(v).where("stratum_type = 'all'"), "brier", "horizon", ["model"])
-
-
 @query("top_features", """select model, horizon, feature, importance, rank from (select *, cast(row_number() over (partition by model, horizon order by importance desc, feature) as int) as rank from (
     select 'freq' as model, 12 as horizon, PropertyState as feature, count(*)::double as importance from surv group by 3)) where rank <= 15""", ("surv",), "importance")
 def _(v):

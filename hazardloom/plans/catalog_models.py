@@ -8,8 +8,9 @@ from ..functions import columns as C
 from ..functions import constants as K
 from ..operators import compete, cox, curves, encode, reports
 from ..operators import panel as P
+from ..sources.staging import stage
 from . import views as V
-from .newton_sql import _sums, _total, coef_rows, newton
+from .newton_sql import _sums, _total, coef_rows, list_coef_rows, newton, newton_lists
 from .registry import query
 
 ID = "loan_key"
@@ -217,45 +218,150 @@ def _(v):
     return _evaluation(v, ev).select("loglik", "score1", "score2", "n_events")
 
 
-# --- full models (no SQL form) -----------------------------------------------------------------------
-@query("cox_base_model")
+# --- full models -----------------------------------------------------------------------
+def _list(*expressions):
+    return "[" + ", ".join(f"cast({e} as double)" for e in expressions) + "]"
+
+
+_COX_RAW = {"FICO_z": "CreditScore", "LTV_z": "OriginalLoantoValueLTV", "Rate_z": "OriginalInterestRate", "UPB_z": "OriginalUPB", "DTI_z": "dti"}
+COX_VIEW = {
+    "c0": f"""select *, coalesce(OriginalDebttoIncomeRatio, (select median(OriginalDebttoIncomeRatio) from surv {_KEEP})) as dti, cast(OriginalDebttoIncomeRatio is null as int) as DTI_missing,
+        cast(coalesce(LoanPurpose = 'P', false) as int) as is_Purchase, cast(coalesce(LoanPurpose = 'C', false) as int) as is_CashOutRefi,
+        cast(coalesce(OccupancyStatus = 'I', false) as int) as is_Investment, cast(coalesce(OccupancyStatus = 'S', false) as int) as is_SecondHome,
+        cast(coalesce(FirstTimeHomebuyerFlag = 'Y', false) as int) as is_FirstTimeBuyer, cast(coalesce(PropertyType = 'CO', false) as int) as is_Condo,
+        cast(coalesce(PropertyType = 'PU', false) as int) as is_PUD, cast(coalesce(MortgageInsurancePercentage > 0, false) as int) as has_MI,
+        cast(coalesce(NumberofBorrowers > 1, false) as int) as "is_MultiBorrower" from surv {_KEEP}""",
+    "c1": "select " + ", ".join(f"avg({c}) as m_{z}, stddev_samp({c}) as s_{z}" for z, c in _COX_RAW.items()) + " from c0",
+    "cz": "select c0.*, " + ", ".join(f"({c} - m_{z}) / s_{z} as {z}" for z, c in _COX_RAW.items()) + " from c0, c1",
+}
+
+
+def _cox_x(rows="cz", names=K.COX_COVARIATES, event="Event_Prepay", where=""):
+    return f"select Duration as t, {event} as e, 1e0 as w, {_list(*names)} as x from {rows} {where}"
+
+
+@query("cox_base_model", list_coef_rows(K.COX_COVARIATES), ("surv",), COEF, extra={**COX_VIEW, "r0": _cox_x(), **newton_lists("r0", 7, 0.001)})
 def _(v):
-    return cox.fit(v.cox_rows, K.COX_COVARIATES, penalizer=0.001, label="base").coefficients(v.spark)
+    return _coef(cox.fit(v.cox_rows, K.COX_COVARIATES, penalizer=0.001, label="base"), v)
+
+
+_MACRO = {"MortgageRate": "mortgage_rate", "Unemployment": "unemployment", "HPI_YoY": "hpi_yoy"}
+MACRO_VIEW = {
+    **COX_VIEW, "k0": "select cz.*, mortgage_rate, unemployment, hpi_yoy from cz left join macro on FirstPaymentDate = yyyymm",
+    "k1": "select " + ", ".join(f"avg({c}) as m{n}, stddev_samp({c}) as s{n}" for n, c in _MACRO.items()) + " from k0",
+    "kz": "select k0.*, " + ", ".join(f"coalesce(({c} - m{n}) / nullif(s{n}, 0), 0) as {n}_z" for n, c in _MACRO.items()) + " from k0, k1"}
+MACRO_NAMES = [*K.COX_COVARIATES, *[f"{c}_z" for c in _MACRO]]
 
 
-@query("cox_macro_model")
+@query("cox_macro_model", f"select * from ({list_coef_rows(MACRO_NAMES)}) where covariate in ('MortgageRate_z', 'Unemployment_z', 'HPI_YoY_z')", ("surv", "macro"), COEF,
+       extra={**MACRO_VIEW, "r0": _cox_x("kz", MACRO_NAMES), **newton_lists("r0", 7, 0.001)})
 def _(v):
     m = v.macro.select("yyyymm", F.col("mortgage_rate").alias("MortgageRate"), F.col("unemployment").alias("Unemployment"), F.col("hpi_yoy").alias("HPI_YoY"))
     x = encode.macro_z(P.join_macro_at(v.cox_rows, m, "FirstPaymentDate", "yyyymm"), K.MACRO_COVARIATES)
     covs = [*K.COX_COVARIATES, *[f"{c}_z" for c in K.MACRO_COVARIATES if f"{c}_z" in x.columns]]
-    return reports.macro_rows(cox.fit(x, covs, penalizer=0.001, label="macro").coefficients(v.spark))
+    return reports.macro_rows(_coef(cox.fit(x, covs, penalizer=0.001, label="macro"), v))
+
+
+# Newton steps from zero, judged on a fifth of the loans of every vintage; it ends with the first step that brings nothing
+DATED = [*K.COX_COVARIATES, "VintageYear"]
+HISTORY = {**COX_VIEW, "r0": _cox_x(names=DATED, where="where loan_key % 5 <> 0"), "rv": _cox_x(names=DATED, where="where loan_key % 5 = 0"), **newton_lists("r0", 7, 0.001, validation="rv"),
+           "steps": " union all ".join(f"select {k} as iteration, a.loglik as train_loglik, c.loglik as val_loglik, b from ll_{k} a, ll_v{k} c, be{k}" for k in range(8)),
+           "worse": """select coalesce(min(iteration), 99) as k from (select iteration, val_loglik, lag(val_loglik) over (order by iteration) as before from steps)
+               where not val_loglik > before + 1e-9 * abs(before)""",
+           "kept": "select steps.*, iteration = k - 1 as best from steps, worse where iteration <= k"}
+
+
+def _history(v):
+    train, val = v.cox_rows.where("loan_key % 5 <> 0"), v.cox_rows.where("loan_key % 5 = 0")
+    return cox.fit(train, DATED, penalizer=0.001, validation=val, patience=1)
+
+
+@query("cox_fit_history", "select iteration, train_loglik, val_loglik, best from kept", ("surv",), "train_loglik val_loglik", digits=4, extra=HISTORY)
+def _(v):
+    return _history(v).history_table(v.spark).drop("max_step")
+
+
+@query("cox_best_step", f"""select {"[" + ", ".join(f"'{n}'" for n in DATED) + "]"}[i] as covariate, b[i] / s[i] as coef, iteration as best
+    from (select unnest(range(1, p + 1)) as i from st), st, kept where best""", ("surv",), "coef", extra=HISTORY)
+def _(v):
+    model = _history(v)
+    return model.coefficients(v.spark).select("covariate", "coef", F.lit(model.best).alias("best"))
 
 
-@query("cox_fit_history")
+@query("best_iteration", "select arg_max(iteration, val_loglik) as best, -max(val_loglik) as best_loss from kept where best", ("surv",), "best_loss", digits=4, extra=HISTORY)
 def _(v):
-    train, val = v.cox_rows.where("VintageYear <= 1997"), v.cox_rows.where("VintageYear > 1997")
-    model = cox.fit(train, K.COX_COVARIATES, penalizer=0.001, validation=val)
-    return model.history_table(v.spark)
+    history = _history(v).history_table(v.spark).where("best").withColumn("val_loss", -F.col("val_loglik"))
+    return reports.best_iteration(history)
+
+
+_BINNED = list(_COX_RAW)
+_SMOOTH = [*_BINNED, *[f"{c}__sq" for c in _BINNED], *[f"{a}__x__{b}" for i, a in enumerate(_BINNED) for b in _BINNED[i + 1:]], *K.COX_COVARIATES[5:]]
+_SMOOTH_SQL = [*_BINNED, *[f"{c} * {c}" for c in _BINNED], *[f"{a} * {b}" for i, a in enumerate(_BINNED) for b in _BINNED[i + 1:]], *K.COX_COVARIATES[5:]]
+BINS = [f"{c}__b{i}" for c in _BINNED for i in (1, 2, 3)]
+BIN_VIEW = {**COX_VIEW, "eg": "select " + ", ".join(f"list_sort(list_distinct(quantile_cont({c}, [0.25, 0.5, 0.75]))) as g_{c}" for c in _BINNED) + " from cz",
+            "cb": "select cz.*, " + ", ".join(f"len(list_filter(g_{c}, lambda g: g < {c})) as {c}__bin" for c in _BINNED) + " from cz, eg"}
+_BIN_SQL = [f"{c}__bin = {i}" for c in _BINNED for i in (1, 2, 3)]
+
 
+def _nonlinear(v):
+    x, _ = cox.expand_basis(v.cox_rows, _BINNED, bins=1)
+    return cox.bin_factors(x, _BINNED, 4)
 
-@query("nonlinear_cox_model")
+
+@query("nonlinear_cox_model", list_coef_rows([*_SMOOTH, *BINS]), ("surv",), COEF, digits=5,
+       extra={**BIN_VIEW, "r0": _cox_x("cb", [*_SMOOTH_SQL, *_BIN_SQL]), **newton_lists("r0", 7, 0.01)})
 def _(v):
-    x, names = cox.expand_basis(v.cox_rows, ["FICO_z", "LTV_z", "Rate_z", "UPB_z", "DTI_z"], bins=4)
-    return cox.fit(x, [*names, *K.COX_COVARIATES[5:]], penalizer=0.01, label="nonlinear").metadata(v.spark)
+    x, factors = _nonlinear(v)
+    return _coef(cox.fit(x, _SMOOTH, penalizer=0.01, label="nonlinear", factors=factors), v)
+
 
+# score and information of every bin at fixed coefficients, with only two covariates beside the bins
+_FIXED_BINS = {**BIN_VIEW, "bb": """select t, e, i, k, r from (select Duration as t, Event_Prepay as e, exp(0.2e0 * Rate_z - 0.1e0 * is_Purchase + """
+               + " + ".join(f"0.05e0 * {c}__bin" for c in _BINNED) + ") as r, " + "[" + ", ".join(f"{c}__bin" for c in _BINNED) + "] as codes from cb), lateral (select unnest(codes) as k, generate_subscripts(codes, 1) as i)",
+               "b1": "select t, i, k, sum(r) as r, count(*) filter (e = 1) as d from bb where k > 0 group by 1, 2, 3",
+               "b2": "select t, sum(r) as r, count(*) filter (e = 1) as d from bb where i = 1 group by 1",
+               "b3": "select t, d, sum(r) over (order by t desc) as risk from b2",
+               "b4": """select m.t, c.i, c.k, coalesce(d, 0) as d, sum(coalesce(r, 0)) over (partition by c.i, c.k order by m.t desc) as r
+                   from (select t from b2) m cross join (select distinct i, k from b1) c left join b1 on b1.t = m.t and b1.i = c.i and b1.k = c.k"""}
 
-@query("time_varying_model")
+
+@query("nonlinear_cox_effects", f"""select {"[" + ", ".join(f"'{c}'" for c in _BINNED) + "]"}[i] || '__b' || k as covariate, cast(sum(b4.d) as bigint) as n_events,
+    sum(b4.d - b3.d * r / risk) as score, sum(b3.d * (r / risk) * (1 - r / risk)) as information,
+    sum(b4.d - b3.d * r / risk) / sum(b3.d * (r / risk) * (1 - r / risk)) as step from b4 join b3 using (t) where b3.d > 0 group by i, k""", ("surv",), "score information step", digits=4, extra=_FIXED_BINS)
 def _(v):
-    feats = K.PANEL_STATIC + K.PANEL_DYNAMIC
-    x = encode.fill_medians(P.counting_process(v.panel_features), feats)
-    x = encode.scale(x, encode.fit_scaler(x, feats, ddof=0))
-    return cox.fit(x, feats, time="tstop", event="event", start="tstart", penalizer=0.01, label="time_varying").coefficients(v.spark)
+    x, factors = _nonlinear(v)
+    beta = {"Rate_z": 0.2, "is_Purchase": -0.1} | {n: 0.05 * k for f in factors for k, n in enumerate(f.names, 1)}
+    ev = cox.at_fixed(x, beta, time="Duration", event="Event_Prepay", ties="breslow", factors=factors)
+    rows = [(n, int(ev.event_x[:, j].sum()), float(ev.score[j]), float(-ev.hessian[j, j]), float(-ev.score[j] / ev.hessian[j, j])) for j, n in enumerate(beta) if j > 1]
+    return v.spark.createDataFrame(rows, "covariate string, n_events bigint, score double, information double, step double")
+
+
+_TV = [*K.PANEL_STATIC, *K.PANEL_DYNAMIC]
+TV_VIEW = {"f0": "select " + ", ".join(f"median({c}) as d_{c}" for c in _TV) + " from feat",
+           "f1": "select loan_age + 1 as t, prepaid_month as e, " + ", ".join(f"coalesce(cast({c} as double), d_{c}) as {c}" for c in _TV) + " from feat, f0",
+           "f2": "select " + ", ".join(f"avg({c}) as m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) as s_{c}" for c in _TV) + " from f1",
+           "r0": "select t, e, 1e0 as w, " + _list(*[f"({c} - m_{c}) / s_{c}" for c in _TV]) + " as x from f1, f2"}
+
+
+def _tv_rows(v):
+    """Counting-process rows, imputed and scaled; the panel is built once."""
+    x = stage(P.counting_process(v.panel_features).select("loan_id", "tstart", "tstop", "event", *[F.col(c).cast("double").alias(c) for c in _TV]))
+    x = encode.fill_medians(x, _TV)
+    return encode.scale(x, encode.fit_scaler(x, _TV, ddof=0))
+
+
+@query("time_varying_model", list_coef_rows(_TV), ("feat",), COEF, digits=5, extra={**TV_VIEW, **newton_lists("r0", 6, 0.01, cumulative=False)})
+def _(v):
+    return _coef(cox.fit(_tv_rows(v), _TV, time="tstop", event="event", start="tstart", penalizer=0.01, label="time_varying"), v)
+
+
+FG_VIEW = {**_G, **COX_VIEW, "r0": f"select Duration as t, cast(Prepaid as int) as e, cast(CreditTerminated as int) as c, 1e0 as w, {_list(*K.COX_COVARIATES)} as x from cz"}
 
 
-@query("fine_gray_model")
+@query("fine_gray_model", list_coef_rows(K.COX_COVARIATES), ("surv", "sl"), COEF, extra={**FG_VIEW, **newton_lists("r0", 7, 0.1, competing=True)})
 def _(v):
     x = v.cox_rows.withColumns({"prepaid": F.col("Prepaid").cast("int"), "defaulted": F.col("CreditTerminated").cast("int")})
-    return cox.fit_fine_gray(x, K.COX_COVARIATES, time="Duration", penalizer=0.1).coefficients(v.spark)
+    return _coef(cox.fit_fine_gray(x, K.COX_COVARIATES, time="Duration", penalizer=0.1), v)
 
 
 # --- discrete competing-risk evaluation ----------------------------------------------------------------

@@ -95,7 +95,7 @@ def _cox_sums(tag: str, rows: str, beta: str, cumulative: bool, ties: str, compe
         out[f"{name}0{tag}"] = f"""select t, {keys}, sum({r}) as s_, sum(case when e = 1 then {r} else 0 end) as es, sum(case when e = 1 then {w} else 0 end) as g,
             count(*) filter (e = 1) as d{late} from {source[name]} group by t, {keys}"""
         if competing:  # exits by the other cause stay with weight G(t) / G(s)
-            out[f"{name}1{tag}"] = f"""select x.*, G * coalesce(sum(case when G > 0 then c_ / G else 0 end) over (partition by {keys} order by x.t rows between unbounded preceding and 1 preceding), 0)
+            out[f"{name}1{tag}"] = f"""select x.*, gg.G * coalesce(sum(case when gg.G > 0 then c_ / gg.G else 0 end) over (partition by {keys} order by x.t rows between unbounded preceding and 1 preceding), 0)
                 + sum(s_) over (partition by {keys} order by x.t desc) as s from {name}0{tag} x join gg on gg.t = x.t"""
         else:
             out[f"{name}1{tag}"] = f"select *, sum(s_) {over.format(keys)} as s from {name}0{tag}"

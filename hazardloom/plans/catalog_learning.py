@@ -1,13 +1,17 @@
-"""Queries over fitted classifiers and the discrete hazard model (no SQL form)."""
+"""Queries over fitted classifiers and the discrete hazard model. Logistic and discrete-hazard fits are
+checked by Newton steps in SQL; forests and boosted trees have no SQL form, their split search has."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..operators import classify as M
 from ..operators import encode, metrics, split
 from ..operators import panel as P
 from . import views as V
+from .catalog_metrics import FL, metrics_sql
+from .newton_sql import newton_logit
 from .registry import query
 
 MODELS = ["LogReg", "RF", "LGBM"]
@@ -37,11 +41,44 @@ def _metrics(v, models, horizons):
     return found.unionByName(v.spark.createDataFrame(M.skipped(fitted), "model string, horizon int, reason string"), allowMissingColumns=True)
 
 
-@query("logistic_horizons")
+# --- the design matrix and the fits in SQL -------------------------------------------------------
+TRAIN = f"VintageYear <= {V.TRAIN_END}"
+_NUM = [c for c in K.NUMERIC_FEATURES if c != "OriginalCombinedLoantoValueCLTV"]  # not in the loan view
+DESIGN = {f"lv_{c}": f"""select list_concat(list(level order by r), ['OTHER', 'MISSING']) as l_{c} from (select {c} as level, row_number() over (order by count(*) desc, {c}) as r
+              from surv where {TRAIN} and {c} is not null group by {c}) where r <= {K.TOP_LEVELS}""" for c in K.CATEGORICAL_FEATURES}
+DESIGN["md"] = "select " + ", ".join(f"median({c}) as md_{c}" for c in _NUM) + f" from surv where {TRAIN}"
+DESIGN["dx"] = ("select targets.*, list_concat([" + ", ".join(f"coalesce({c}::double, md_{c}), case when {c} is null then 1e0 else 0e0 end" for c in _NUM) + ", VintageYear::double], "
+                + ", ".join(f"list_transform(l_{c}, lambda l: case when l = (case when {c} is not null and list_contains(l_{c}[1:len(l_{c}) - 2], {c}) then {c} else 'OTHER' end) then 1e0 else 0e0 end)"
+                            for c in K.CATEGORICAL_FEATURES) + ") as x from targets, md, " + ", ".join(f"lv_{c}" for c in K.CATEGORICAL_FEATURES))
+LOGITS = dict(DESIGN)
+for _h in V.HORIZONS:
+    LOGITS[f"t{_h}"] = f"select Target_T{_h}::int as y, x from dx where {TRAIN} and Target_T{_h} is not null"
+    LOGITS |= newton_logit(f"t{_h}", prefix=f"g{_h}_")
+    LOGITS[f"p{_h}"] = f"""select loan_key, {_h} as horizon, Target_T{_h}::int as y,
+        (1 / (1 + exp(-list_inner_product(list_append(list_transform(x, lambda v, i: (v - m[i]) / s[i]), 1e0), b))))::float::double as p
+        from dx, g{_h}_st, g{_h}_be where VintageYear between {V.TEST_START} and {V.TEST_END}"""
+LOGITS["lg"] = " union all ".join(f"select 'LogReg' as model, * from p{h}" for h in V.HORIZONS)
+LOGITS["lk"] = "select * from lg where y is not null"
+
+
+@query("logistic_horizons", f"select *, cast(null as varchar) as reason from ({metrics_sql('lk', 'model, horizon')})", ("targets",), FL, digits=5, extra=LOGITS)
 def _(v):
     return _metrics(v, ["LogReg"], V.HORIZONS)
 
 
+@query("logistic_coefficients", " union all ".join(
+    f"select {h} as horizon, i, abs(b[i]) as importance from (select unnest(range(1, p + 1)) as i from g{h}_st), g{h}_be" for h in V.HORIZONS),
+       ("targets",), "importance", digits=5, extra=LOGITS)
+def _(v):
+    """Standardised slopes by position in the design matrix: numerics with their flags, vintage, then the levels."""
+    train, _, feats = _frames(v, V.HORIZONS)
+    _, rows = M.fit_horizons(train, feats, V.HORIZONS, "loan_key", ["LogReg"])
+    last = len(feats)
+    cut = 2 * len(_NUM)
+    place = {f: i + 1 if i < cut else cut + 1 if i == last - 1 else i + 2 for i, f in enumerate(feats)}
+    return v.spark.createDataFrame([(h, place[f], imp) for _, h, f, imp, _ in rows], "horizon int, i bigint, importance double")
+
+
 @query("forest_horizon")
 def _(v):
     return _metrics(v, ["RF"], V.HORIZONS)

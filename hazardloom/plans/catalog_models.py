@@ -225,7 +225,7 @@ def _list(*expressions):
 
 _COX_RAW = {"FICO_z": "CreditScore", "LTV_z": "OriginalLoantoValueLTV", "Rate_z": "OriginalInterestRate", "UPB_z": "OriginalUPB", "DTI_z": "dti"}
 COX_VIEW = {
-    "c0": f"""select *, coalesce(OriginalDebttoIncomeRatio, (select median(OriginalDebttoIncomeRatio) from surv {_KEEP})) as dti, cast(OriginalDebttoIncomeRatio is null as int) as DTI_missing,
+    "c0": f"""select *, coalesce(OriginalDebttoIncomeRatio, (select median(OriginalDebttoIncomeRatio) from surv {_KEEP})) as dti, cast(OriginalDebttoIncomeRatio is null as int) as DTI_missing, coalesce(MaxDelinquency, 0) as worst_status,
         cast(coalesce(LoanPurpose = 'P', false) as int) as is_Purchase, cast(coalesce(LoanPurpose = 'C', false) as int) as is_CashOutRefi,
         cast(coalesce(OccupancyStatus = 'I', false) as int) as is_Investment, cast(coalesce(OccupancyStatus = 'S', false) as int) as is_SecondHome,
         cast(coalesce(FirstTimeHomebuyerFlag = 'Y', false) as int) as is_FirstTimeBuyer, cast(coalesce(PropertyType = 'CO', false) as int) as is_Condo,
@@ -263,8 +263,8 @@ def _(v):
 
 
 # Newton steps from zero, judged on a fifth of the loans of every vintage; it ends with the first step that brings nothing
-DATED = [*K.COX_COVARIATES, "VintageYear"]
-HISTORY = {**COX_VIEW, "r0": _cox_x(names=DATED, where="where loan_key % 5 <> 0"), "rv": _cox_x(names=DATED, where="where loan_key % 5 = 0"), **newton_lists("r0", 7, 0.001, validation="rv"),
+TRACKED = [*K.COX_COVARIATES, "worst_status"]
+HISTORY = {**COX_VIEW, "r0": _cox_x(names=TRACKED, where="where loan_key % 5 <> 0"), "rv": _cox_x(names=TRACKED, where="where loan_key % 5 = 0"), **newton_lists("r0", 7, 0.001, validation="rv"),
            "steps": " union all ".join(f"select {k} as iteration, a.loglik as train_loglik, c.loglik as val_loglik, b from ll_{k} a, ll_v{k} c, be{k}" for k in range(8)),
            "worse": """select coalesce(min(iteration), 99) as k from (select iteration, val_loglik, lag(val_loglik) over (order by iteration) as before from steps)
                where not val_loglik > before + 1e-9 * abs(before)""",
@@ -272,8 +272,9 @@ HISTORY = {**COX_VIEW, "r0": _cox_x(names=DATED, where="where loan_key % 5 <> 0"
 
 
 def _history(v):
-    train, val = v.cox_rows.where("loan_key % 5 <> 0"), v.cox_rows.where("loan_key % 5 = 0")
-    return cox.fit(train, DATED, penalizer=0.001, validation=val, patience=1)
+    x = v.cox_rows.withColumn("worst_status", F.coalesce("MaxDelinquency", F.lit(0)))
+    train, val = x.where("loan_key % 5 <> 0"), x.where("loan_key % 5 = 0")
+    return cox.fit(train, TRACKED, penalizer=0.001, validation=val, patience=1)
 
 
 @query("cox_fit_history", "select iteration, train_loglik, val_loglik, best from kept", ("surv",), "train_loglik val_loglik", digits=4, extra=HISTORY)
@@ -281,7 +282,7 @@ def _(v):
     return _history(v).history_table(v.spark).drop("max_step")
 
 
-@query("cox_best_step", f"""select {"[" + ", ".join(f"'{n}'" for n in DATED) + "]"}[i] as covariate, b[i] / s[i] as coef, iteration as best
+@query("cox_best_step", f"""select {"[" + ", ".join(f"'{n}'" for n in TRACKED) + "]"}[i] as covariate, b[i] / s[i] as coef, iteration as best
     from (select unnest(range(1, p + 1)) as i from st), st, kept where best""", ("surv",), "coef", extra=HISTORY)
 def _(v):
     model = _history(v)

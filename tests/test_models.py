@@ -25,7 +25,7 @@ def test_fit_history_and_fine_gray_are_whole(spark, monkeypatch):
     assert CATALOG["cox_fit_history"].run(spark, FOLDER).count() > 1
     assert {r.covariate for r in CATALOG["fine_gray_model"].run(spark, FOLDER).select("covariate").collect()} == set(K.COX_COVARIATES)
     train, covariates, kw = asked["history"]
-    assert covariates == [*K.COX_COVARIATES, "VintageYear"]
+    assert covariates == [*K.COX_COVARIATES, "worst_status"]
     assert train.count() + kw["validation"].count() == Views(spark, FOLDER).cox_rows.count()
 
 

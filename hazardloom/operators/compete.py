@@ -3,11 +3,15 @@ incidence from monthly hazards and the evaluation losses built on it."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ..functions import constants as K
 from . import curves, lookup
@@ -79,27 +83,64 @@ def stratified_incidence(df: DataFrame, variables: dict[str, str], min_rows: int
 EPS = 1e-7
 
 
-def _fold(h1: str, h2: str):
-    """Array fold over months: running (S, F1, F2) after each month."""
-    def clamp(x):
-        return F.greatest(F.least(x, F.lit(1 - EPS)), F.lit(EPS))
+#: Months whose running sums are formed at once; a longer path is taken whole.
+PIECE = 1 << 17
 
-    def step(acc, x):
-        l1, l2 = clamp(x["a"]), clamp(x["b"])
-        s = F.element_at(acc, -1)["s"]
-        return F.concat(acc, F.array(F.struct(
-            (s * (1 - l1) * (1 - l2)).alias("s"),
-            (F.element_at(acc, -1)["f1"] + l1 * s).alias("f1"),
-            (F.element_at(acc, -1)["f2"] + l2 * s).alias("f2"))))
 
-    start = F.array(F.struct(F.lit(1.0).alias("s"), F.lit(0.0).alias("f1"), F.lit(0.0).alias("f2")))
-    pairs = F.zip_with(h1, h2, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.filter(F.aggregate(pairs, start, step), lambda x, i: i > 0)
+def chain_products(l1: np.ndarray, l2: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """S, F1 and F2 after each month for paths laid end to end, each from its place in `start`."""
+    l1, l2 = (np.clip(np.nan_to_num(x, nan=0.0), EPS, 1 - EPS) for x in (l1, l2))
+    path = np.zeros(len(l1), np.int64)
+    path[start[start < len(l1)]] = 1
+    path = np.cumsum(path) - 1
+    first = np.flatnonzero(np.diff(path, prepend=-1))
+
+    def within(x):
+        total = np.cumsum(x)
+        return total - (total[first] - x[first])[path]
+
+    logs = np.log1p(-l1) + np.log1p(-l2)
+    after = within(logs)
+    before = np.exp(after - logs)
+    return np.exp(after), within(l1 * before), within(l2 * before)
 
 
 def incidence_arrays(df: DataFrame, h1: str, h2: str, name: str = "path") -> DataFrame:
-    """Chain-product incidence for rows that hold both hazard paths as arrays."""
-    return df.withColumn(name, _fold(h1, h2))
+    """Chain-product incidence for rows that hold both hazard paths as arrays of equal length:
+    adds array<struct<s, f1, f2>>, as long as the paths.
+
+    Paths of an Arrow batch lie end to end, so a few running sums serve all of them and the work
+    is linear in their length. A NULL path stays NULL, a NULL hazard counts as none.
+    """
+    kind = "array<struct<s: double, f1: double, f2: double>>"
+    item = pa.struct([("s", pa.float64()), ("f1", pa.float64()), ("f2", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, c = (b.column(x).cast(pa.list_(pa.float64())) for x in (h1, h2))
+            known = pc.and_(a.is_valid(), c.is_valid()).to_numpy(zero_copy_only=False)
+            length = pc.fill_null(pc.list_value_length(a), 0).to_numpy() * known
+            if (length != pc.fill_null(pc.list_value_length(c), 0).to_numpy() * known).any():
+                raise ValueError(f"{h1} and {h2} must be of equal length")
+            mask = pa.array(known)
+            flat = [np.asarray(x.filter(mask).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False), float) for x in (a, c)]
+            offsets = np.concatenate([[0], np.cumsum(length)])
+            out = [np.empty(offsets[-1]) for _ in range(3)]
+            low = 0
+            while low < b.num_rows:  # pieces of whole paths
+                high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + PIECE, side="right")) - 1)
+                part = slice(offsets[low], offsets[high])
+                if part.stop > part.start:
+                    starts = offsets[low:high][length[low:high] > 0] - offsets[low]
+                    for x, y in zip(out, chain_products(flat[0][part], flat[1][part], starts)):
+                        x[part] = y
+                low = high
+            values = pa.StructArray.from_arrays([pa.array(x) for x in out], fields=list(item))
+            path = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(~known))
+            yield pa.RecordBatch.from_arrays([*b.columns, path], [*b.schema.names, name])
+
+    schema = StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
+    return df.mapInArrow(run, schema)
 
 
 def incidence_rows(panel: DataFrame, loan: str, month: str, h1: str, h2: str) -> DataFrame:

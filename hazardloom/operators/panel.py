@@ -192,11 +192,22 @@ def last_rows(panel: DataFrame, columns: Sequence[str], upto: int | None = None,
 
 
 def trajectories(panel: DataFrame, columns: Sequence[str] = ("rate_incentive", "ELTV"),
-                 vintages: Sequence[int] | None = None) -> DataFrame:
-    """Exact median of each column by vintage and age, wide."""
+                 vintages: Sequence[int] | None = None, small: int = 100_000) -> DataFrame:
+    """Exact median of each column by vintage and age, wide.
+
+    Groups of at most `small` rows are ordered inside the aggregate, all columns in one pass; only
+    larger ones go through the bucketed search, which never holds a group. Group sizes are one
+    row per vintage and age.
+    """
     x = panel if vintages is None else panel.where(F.col("vintage_year").isin(list(vintages)))
-    long = medians(x, list(columns), ["vintage_year", "loan_age"])
-    return long.groupBy("vintage_year", "loan_age").pivot("column", list(columns)).agg(F.first("median"))
+    by = ["vintage_year", "loan_age"]
+    large = small_table(x.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > small).drop("__n"))
+    rest = x.join(large, by, "left_anti")
+    out = rest.groupBy(*by).agg(*[F.median(F.col(c).cast("double")).alias(c) for c in columns])
+    if not large.isEmpty():
+        long = medians(x.join(large, by, "left_semi"), list(columns), by)
+        out = out.unionByName(long.groupBy(*by).pivot("column", list(columns)).agg(F.first("median")))
+    return out.where(F.coalesce(*columns).isNotNull())
 
 
 def sequences(panel: DataFrame, features: Sequence[str], months: int = K.SEQUENCE_MONTHS) -> DataFrame:
@@ -209,6 +220,18 @@ def sequences(panel: DataFrame, features: Sequence[str], months: int = K.SEQUENC
         F.count("*").cast("int").alias("length"))
 
 
+def padded_sequences(panel: DataFrame, features: Sequence[str], months: int = K.SEQUENCE_MONTHS, fill: float = 0.0) -> DataFrame:
+    """(loan_id, one array of exactly `months` values per feature, mask, length): place i holds the
+    i-th month of the loan, `fill` where it is missing or beyond the end; the mask tells months
+    that exist, and is what a sequence model reads."""
+    x = sequences(panel, features, months)
+    pad = F.greatest(F.lit(months) - F.col("length"), F.lit(0))
+    out = [F.concat(F.transform(F.col("steps")[c], lambda x: F.coalesce(x.cast("double"), F.lit(float(fill)))),
+                    F.array_repeat(F.lit(float(fill)), pad)).alias(c) for c in features]
+    mask = F.concat(F.array_repeat(F.lit(True), F.col("length")), F.array_repeat(F.lit(False), pad))
+    return x.select("loan_id", *out, mask.alias("mask"), "length")
+
+
 def longest_sequences(lengths: DataFrame, by: str, n: int) -> DataFrame:
     """The n longest sequences of every class, ties by loan id."""
     w = W.partitionBy(by).orderBy(F.desc("length"), "loan_id")

@@ -9,6 +9,7 @@ from ..functions import constants as K
 from ..operators import classify as M
 from ..operators import encode, metrics, split
 from ..operators import panel as P
+from ..sources.staging import stage
 from . import views as V
 from .catalog_metrics import FL, metrics_sql
 from .newton_sql import newton_logit
@@ -105,17 +106,49 @@ STATIC = ["FICO", "LTV", "DTI", "UPB_k", "orig_rate", "LP_Purchase", "LP_NoCashR
 DYNAMIC = ["ELTV", "mortgage_rate", "unemployment", "hpi_yoy"]
 
 
+HISTORY = ("rate_incentive", "ELTV", "unemployment")
+HAZARD = [*STATIC, *DYNAMIC, "age", "age_log", "age_sq", *[f"{c}_{k}12" for c in HISTORY for k in ("mean", "change")]]
+
+
 def _hazard_model(v):
     x = v.panel_features.withColumn("UPB_k", F.col("UPB") / 1000.0)
+    x = stage(x.select("loan_id", "loan_age", "prepaid_month", "default_month", *dict.fromkeys([*STATIC, *DYNAMIC, "rate_incentive"])))
     x = encode.fill_medians(x, [*STATIC, *DYNAMIC, "rate_incentive"])
-    x, hist = M.history_features(x, ("rate_incentive",))
+    x, hist = M.history_features(x, HISTORY)
     x = x.withColumn("cause_month", F.col("prepaid_month") + 2 * F.col("default_month"))
     feats = [*STATIC, *DYNAMIC, *hist]
     model = M.DiscreteHazards.fit(x, feats)
     return x, model
 
 
-@query("discrete_hazard_model")
+def _with_history(rows):
+    w = "over (partition by loan_id order by loan_age rows between 11 preceding and current row)"
+    return (f"select *, loan_age / 12e0 as age, ln(1e0 + loan_age) as age_log, pow(loan_age / 12e0, 2) as age_sq, "
+            + ", ".join(f"avg({c}) {w} as {c}_mean12, {c} - coalesce(lag({c}, 12) over (partition by loan_id order by loan_age), first_value({c}) {w}) as {c}_change12" for c in HISTORY) + f" from {rows}")
+
+
+_FILLED = [*STATIC, *DYNAMIC, "rate_incentive"]
+HAZARDS = {
+    "q0": "select *, UPB / 1000e0 as UPB_k from feat",
+    "q1": "select " + ", ".join(f"median({c}) as d_{c}" for c in _FILLED) + " from q0",
+    "q2": "select loan_id, loan_age, prepaid_month, default_month, " + ", ".join(f"coalesce({c}::double, d_{c}) as {c}" for c in _FILLED) + " from q0, q1",
+    "q3": _with_history("q2"),
+    "q4": "select loan_id, loan_age, prepaid_month, default_month, prepaid_month + 2 * default_month as y, [" + ", ".join(f"{c}::double" for c in HAZARD) + "] as x from q3",
+    **newton_logit("q4", "(1e-6 * n)", 3, 14),
+}
+
+
+def _hazard_sql(rows, keep):
+    """h1, h2 of rows with a list x."""
+    return f"""select {keep}, e1 / (1 + e1 + e2) as h1, e2 / (1 + e1 + e2) as h2 from (select {keep}, exp(list_inner_product(z, b[1:p + 1])) as e1, exp(list_inner_product(z, b[p + 2:])) as e2
+        from (select {keep}, list_append(list_transform(x, lambda v, i: (v - m[i]) / s[i]), 1e0) as z, p, b from {rows}, st, be))"""
+
+
+HAZARDS["q5"] = _hazard_sql("q4", "loan_id, loan_age, prepaid_month, default_month")
+
+
+@query("discrete_hazard_model", "select loan_age, count(*) as n, avg(h1) as h1, avg(h2) as h2, avg(prepaid_month) as observed1, avg(default_month) as observed2 from q5 group by 1",
+       ("feat",), "h1 h2 observed1 observed2", extra=HAZARDS)
 def _(v):
     x, model = _hazard_model(v)
     return model.hazards(x).groupBy("loan_age").agg(
@@ -123,18 +156,46 @@ def _(v):
         F.avg("prepaid_month").alias("observed1"), F.avg("default_month").alias("observed2"))
 
 
-@query("incidence_sensitivity")
+def _chain_sql(rows):
+    one = "least(greatest({}, 1e-7), 1 - 1e-7)"
+    return {"w1": f"select *, {one.format('h1')} as l1, {one.format('h2')} as l2 from {rows}",
+            "w2": "select *, exp(coalesce(sum(ln(1 - l1) + ln(1 - l2)) over (partition by loan_id order by loan_age rows between unbounded preceding and 1 preceding), 0)) as sp from w1",
+            "w3": """select *, sp * (1 - l1) * (1 - l2) as S, sum(l1 * sp) over w as cif1, sum(l2 * sp) over w as cif2 from w2
+                window w as (partition by loan_id order by loan_age rows between unbounded preceding and current row)"""}
+
+
+SENSITIVE = {**HAZARDS, **_chain_sql("(select * from q5 where loan_age < 60)"),
+             "w4": "select *, max(cif1) over (partition by loan_id) - cif1 as rest from w3",
+             "w5": """select loan_age, i, abs((sp - rest / (1 - h1)) * h1 * (b1 - mb) + (-rest / (1 - h2)) * h2 * (b2 - mb)) * sd as g from (
+                 select *, h1 * b1 + h2 * b2 as mb from w4, (select unnest(range(1, p + 1)) as i, unnest(list_transform(range(1, p + 1), lambda i: b[i] / s[i])) as b1,
+                 unnest(list_transform(range(1, p + 1), lambda i: b[p + 1 + i] / s[i])) as b2, unnest(list_transform(range(1, p + 1), lambda i: s[i] * sqrt((n - 1) / n::double))) as sd from st, be))"""}
+
+
+@query("incidence_sensitivity", f"""select loan_age, {"[" + ", ".join(f"'{c}'" for c in HAZARD) + "]"}[i] as feature, count(*) as n, avg(g) as importance
+    from w5 group by grouping sets ((loan_age, i), (i))""", ("feat",), "importance", digits=7, extra=SENSITIVE)
 def _(v):
     x, model = _hazard_model(v)
-    g = model.incidence_gradient(model.hazards(x).select("loan_id", "loan_age", "h1", "h2"), 60, 1)
-    return M.sensitivity(g, "loan_age")
+    return model.incidence_sensitivity(model.hazards(x).select("loan_id", "loan_age", "h1", "h2"), 60, 1)
+
+
+_ARC = " union all ".join(f"select '{n}' as loan_id, {a}::double as FICO, {b}::double as LTV, {r}::double as orig_rate, {d}::double as DTI, {u}::double as UPB" for n, a, b, r, d, u in K.ARCHETYPES)
+ARCHETYPES = {
+    **HAZARDS, "a0": _ARC,
+    "a1": f"""select *, orig_rate - mortgage_rate as rate_incentive, 1 as LP_Purchase, 0 as LP_NoCashRefi, 0 as Occ_Investment, 0 as Occ_SecondHome, UPB / 1000e0 as UPB_k, orig_rate / 1200e0 as rm,
+        exp(sum(ln(1 + coalesce(hpi_yoy, 0) / 1200e0)) over (partition by loan_id order by loan_age)) as hc
+        from a0 cross join (select *, cast(row_number() over (order by yyyymm) - 1 as int) as loan_age from macro where yyyymm between 199601 and 200012) where loan_age < {K.SEQUENCE_MONTHS}""",
+    "a2": """select * replace (coalesce(hpi_yoy, 0) as hpi_yoy, coalesce(mortgage_rate, 0) as mortgage_rate, coalesce(unemployment, 0) as unemployment, coalesce(rate_incentive, 0) as rate_incentive),
+        least(greatest(LTV * least(greatest((pow(1 + rm, 360) - pow(1 + rm, loan_age)) / (pow(1 + rm, 360) - 1), 0), 1) / hc, 0), 200) as ELTV from a1""",
+    "a3": _with_history("a2"),
+    "a4": "select loan_id, loan_age, [" + ", ".join(f"{c}::double" for c in HAZARD) + "] as x from a3",
+    "a5": _hazard_sql("a4", "loan_id, loan_age"), **_chain_sql("a5")}
 
 
-@query("archetype_incidence")
+@query("archetype_incidence", "select loan_id, loan_age, S, cif1, cif2 from w3", ("feat",), "S cif1 cif2", extra=ARCHETYPES)
 def _(v):
     from ..operators.compete import incidence_rows
 
     x, model = _hazard_model(v)
     arc = P.archetype_paths(v.macro, 199601, 200012).withColumn("UPB_k", F.col("UPB") / 1000.0)
-    arc, _ = M.history_features(arc.fillna(0.0), ("rate_incentive",))
+    arc, _ = M.history_features(arc.fillna(0.0), HISTORY)
     return incidence_rows(model.hazards(arc), "loan_id", "loan_age", "h1", "h2").select("loan_id", "loan_age", "S", "cif1", "cif2")

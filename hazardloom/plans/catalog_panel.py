@@ -12,14 +12,14 @@ from .registry import query
 # --- macro ------------------------------------------------------------------------------
 _MACRO = {
     "days": "select cast(l_shipdate as date) as day, l_discount, l_tax, l_extendedprice, year(l_shipdate) * 12 + month(l_shipdate) - 1 as m from lineitem",
-    "spine": "select unnest(range(lo, hi + 1)) as m from (select min(m) as lo, max(m) as hi from days)",
     "s1": "select m, avg(l_discount) as v from days group by 1",
-    "s2": "select m, avg(l_tax) as v from days where month(day) in (1, 4, 7, 10) group by 1",
-    "s3": "select m, avg(l_extendedprice) as v from days where year(day) <= 2000 group by 1",
-    "s4": "select m, avg(l_quantity) as v from (select *, year(l_shipdate) * 12 + month(l_shipdate) - 1 as m from lineitem where month(l_shipdate) = 1) group by 1",
+    "s2": "select m, avg(l_tax) as v from (select l_tax, m + 3 as m from days) group by 1",
+    "s3": "select m, avg(l_extendedprice) as v from (select l_extendedprice, m - 7 as m from days) group by 1",
+    "s4": "select m, avg(l_quantity) as v from (select l_quantity, year(l_shipdate) * 12 as m from lineitem) group by 1",
+    "spine": "select unnest(range(lo, hi + 1)) as m from (select min(m) as lo, max(m) as hi from (select m from s1 union all select m from s2 union all select m from s3 union all select m from s4))",
     "wide": "select spine.m, s1.v as MortgageRate, s2.v as u0, s3.v as h0, s4.v as c0 from spine left join s1 using (m) left join s2 using (m) left join s3 using (m) left join s4 using (m)",
-    "filled": """select m, MortgageRate, case when m <= (select max(m) from s2) then last_value(u0 ignore nulls) over w end as Unemployment,
-        case when m <= (select max(m) from s3) then h0 end as HPI, last_value(h0 ignore nulls) over w as held, last_value(c0 ignore nulls) over w as CPI_YoY
+    "filled": """select m, case when m <= (select max(m) from s1) then last_value(MortgageRate ignore nulls) over w end as MortgageRate, case when m <= (select max(m) from s2) then last_value(u0 ignore nulls) over w end as Unemployment,
+        case when m <= (select max(m) from s3) then last_value(h0 ignore nulls) over w end as HPI, last_value(h0 ignore nulls) over w as held, last_value(c0 ignore nulls) over w as CPI_YoY
         from wide window w as (order by m rows between unbounded preceding and current row)""",
 }
 
@@ -30,9 +30,9 @@ def _(v):
     x = v.table("lineitem").withColumn("date", F.to_date("l_shipdate"))
     series = {
         "MortgageRate": x.select("date", F.col("l_discount").alias("MortgageRate")),
-        "Unemployment": x.where(F.month("date").isin(1, 4, 7, 10)).select("date", F.col("l_tax").alias("Unemployment")),
-        "HPI": x.where(F.year("date") <= 2000).select("date", F.col("l_extendedprice").alias("HPI")),
-        "CPI_YoY": x.where(F.month("date") == 1).select("date", F.col("l_quantity").alias("CPI_YoY")),
+        "Unemployment": x.select(F.add_months("date", 3).alias("date"), F.col("l_tax").alias("Unemployment")),
+        "HPI": x.select(F.add_months("date", -7).alias("date"), F.col("l_extendedprice").alias("HPI")),
+        "CPI_YoY": x.select(F.trunc("date", "year").alias("date"), F.col("l_quantity").alias("CPI_YoY")),  # an annual series
     }
     return P.macro_panel(series)
 
@@ -125,9 +125,10 @@ def _(v):
     return P.last_rows(P.counting_process(v.panel), ["yyyymm", "LTV"], upto=24)
 
 
-@query("labels_on_panel", "select event_type, count(*) as n, cast(sum(duration) as bigint) as months from panel join sl on loan_id = loan_key group by 1", ("panel", "sl"))
+@query("labels_on_panel", """select event_type, count(*) as n, cast(sum(duration) as bigint) as months from panel left join (select * from sl where loan_key % 3 <> 0) on loan_id = loan_key group by 1""", ("panel", "sl"))
 def _(v):
-    lab = v.labels.select(F.col("loan_key").alias("loan_id"), "duration", "event_type")
+    # labels of two loans in three, so that months without a label stay with a NULL
+    lab = v.labels.where("loan_key % 3 <> 0").select(F.col("loan_key").alias("loan_id"), "duration", "event_type")
     return v.panel.join(lab, "loan_id", "left").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("duration").alias("months"))
 
 
@@ -136,16 +137,16 @@ def _(v):
     return P.trajectories(v.panel_features)
 
 
-@query("sequences", """select loan_id, count(*)::int as length, sum(rate_incentive * (loan_age + 1)) as weighted, arg_min(unemployment, loan_age) filter (loan_age = 0) as first_u, max(ELTV) as top
-    from feat where loan_age < 30 group by 1""", ("feat",), "weighted first_u top")
+@query("sequences", f"""select loan_id, {K.SEQUENCE_MONTHS} as places, count(*)::int as length, sum(rate_incentive * (loan_age + 1)) as weighted, max(case when loan_age = 0 then unemployment end) as first_u,
+    coalesce(max(case when loan_age = least(mx, {K.SEQUENCE_MONTHS} - 1) then ELTV end), 0) as last_eltv, sum(coalesce(ELTV, 0)) as eltv
+    from (select *, max(loan_age) over (partition by loan_id) as mx from feat) where loan_age < {K.SEQUENCE_MONTHS} group by 1""", ("feat",), "weighted first_u last_eltv eltv", digits=5)
 def _(v):
-    s = P.sequences(v.panel_features, ["ELTV", "unemployment", "rate_incentive"], 30)
+    s = P.padded_sequences(v.panel_features, ["ELTV", "unemployment", "rate_incentive"])
+    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     return s.select(
-        "loan_id", "length",
-        F.aggregate(F.filter("steps", lambda r: r["rate_incentive"].isNotNull()), F.lit(None).cast("double"),
-                    lambda a, r: F.coalesce(a, F.lit(0.0)) + r["rate_incentive"] * (r["pos"] + 1)).alias("weighted"),
-        F.element_at("steps", 1)["unemployment"].alias("first_u"),
-        F.array_max(F.transform("steps", lambda r: r["ELTV"])).alias("top"))
+        "loan_id", F.size("mask").alias("places"), F.size(F.filter("mask", lambda m: m)).alias("length"),
+        total(F.transform("rate_incentive", lambda x, i: x * (i + 1))).alias("weighted"), F.element_at("unemployment", 1).alias("first_u"),
+        F.element_at("ELTV", F.col("length")).alias("last_eltv"), total("ELTV").alias("eltv"))
 
 
 @query("longest_sequences", """select event_type, loan_id, length, rank from (select event_type, loan_key as loan_id, duration as length,

@@ -160,16 +160,22 @@ def newton_logit(rows: str, ridge: str = "1e0", classes: int = 2, steps: int = 1
     out = {f"{e}st": f"""select list(m order by i) as m, list(s order by i) as s, max(n) as n, count(*) as p from (select i, avg(v) as m, coalesce(nullif(stddev_samp(v), 0), 1) as s, count(*) as n
                from (select unnest(x) as v, generate_subscripts(x, 1) as i from {rows}) group by i)""",
            f"{e}zz": f"select y, list_append(list_transform(x, lambda v, i: (v - m[i]) / s[i]), 1e0) as z from {rows}, {e}st",
-           f"{e}ij": f"""select a, i, b, j, a * {q} + i as r, b * {q} + j as c from (select p, a, unnest(range(1, {q} + 1)) as i from (select p, unnest(range(0, {m})) as a from {e}st)),
-               lateral (select b, unnest(range(1, {q} + 1)) as j from (select unnest(range(0, {m})) as b)) where a * {q} + i <= b * {q} + j""",
-           f"{e}be0": f"select list_transform(range(0, {m} * {q}), lambda i: 0e0) as b from {e}st"}
+           f"{e}ij": f"select i, j from (select p, unnest(range(1, {q} + 1)) as i from {e}st), lateral (select unnest(range(i, {q} + 1)) as j)",
+           # intercepts start at the log-odds of the classes
+           f"{e}be0": "select " + ("list_concat(" * (m - 1)) + ", ".join(
+               f"list_append(list_transform(range(0, p), lambda i: 0e0), ln(c{a + 1} / c0))" + (")" if a else "") for a in range(m))
+           + f" as b from {e}st, (select " + ", ".join(f"count(*) filter (y = {a})::double as c{a}" for a in range(classes)) + f" from {rows})"}
     for k in range(steps):
         score = ", ".join(f"exp(list_inner_product(z, b[{a} * {q} + 1:{a + 1} * {q}])) as e{a}" for a in range(m))
         total = " + ".join(f"e{a}" for a in range(m))
         out[f"{e}r{k}"] = f"select y, z, [{', '.join(f'e{a} / (1 + {total})' for a in range(m))}] as p_ from (select y, z, {score} from {e}zz, {e}be{k}, {e}st)"
         out[f"{e}u{k}"] = f"""select a * {q} + i as i, u from (select a, i, sum(v * (case when y = a + 1 then 1 else 0 end - p_[a + 1])) as u from (
             select y, p_, unnest(z) as v, generate_subscripts(z, 1) as i from {e}r{k}), (select unnest(range(0, {m})) as a) group by a, i), {e}st"""
-        out[f"{e}h{k}"] = f"select r as i, c as j, sum(z[i] * z[j] * p_[a + 1] * (case when a = b then 1 else 0 end - p_[b + 1])) as h from {e}r{k}, {e}ij group by r, c"
+        pairs = [(a, b) for a in range(m) for b in range(a, m)]
+        weight = {(a, b): f"p_[{a + 1}] * ({int(a == b)} - p_[{b + 1}])" for a, b in pairs}
+        out[f"{e}hp{k}"] = "select i, j, " + ", ".join(f"sum(y * {w}) as h{a}{b}" for (a, b), w in weight.items()) + f" from (select p_, i, j, z[i] * z[j] as y from {e}r{k}, {e}ij) group by i, j"
+        out[f"{e}h{k}"] = " union all ".join([f"select {a} * {q} + i as i, {b} * {q} + j as j, h{a}{b} as h from {e}hp{k}, {e}st" for a, b in pairs]
+                                             + [f"select {a} * {q} + j, {b} * {q} + i, h{a}{b} from {e}hp{k}, {e}st where i < j" for a, b in pairs if a < b])
         free = f"case when (i - 1) % {q} = p then 0e0 else {ridge} end"
         out[f"{e}hr{k}"] = f"""select i, list(h + case when i = j then {free} else 0e0 end order by j) as r from (select i, j, h from {e}h{k} union all select j, i, h from {e}h{k} where i <> j), {e}st group by i"""
         out[f"{e}mm{k}"] = f"""select list(list_append(r, u - w * b[i]) order by i) as m from (select x.i, r, u, b, {free.replace('(i - 1)', '(x.i - 1)')} as w from {e}hr{k} x join {e}u{k} y on x.i = y.i, {e}be{k}, {e}st)"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import classify as M
-from ..operators import encode, metrics, split
+from ..operators import encode, metrics, reports, split, trees
 from ..operators import panel as P
 from ..sources.staging import stage
 from . import views as V
@@ -199,3 +199,115 @@ def _(v):
     arc = P.archetype_paths(v.macro, 199601, 200012).withColumn("UPB_k", F.col("UPB") / 1000.0)
     arc, _ = M.history_features(arc.fillna(0.0), HISTORY)
     return incidence_rows(model.hazards(arc), "loan_id", "loan_age", "h1", "h2").select("loan_id", "loan_age", "S", "cif1", "cif2")
+
+
+# --- exact splits ------------------------------------------------------------------------------
+CODED = {"age_band": "cast(CreditScore // 20 as int)", "ltv_band": "cast(OriginalLoantoValueLTV // 5 as int)", "dti_band": "cast(OriginalDebttoIncomeRatio // 3 as int)",
+         "rate_band": "cast(floor(OriginalInterestRate * 4) as int)", "upb_band": "cast(floor(OriginalUPB / 20000) as int)", "borrowers": "NumberofBorrowers", "year": "VintageYear"}
+_GAIN = "round((2e0 * {e} * ({n} - {e}) / {n} - 2e0 * {l} * ({m} - {l}) / {m} - 2e0 * ({e} - {l}) * ({n} - {m} - ({e} - {l})) / ({n} - {m})) / {n}, 12)"
+
+
+def _level_sql(rows, tag):
+    """Best split of every node of `rows` (node, y, codes)."""
+    return {f"cc{tag}": f"select node, feature, code, count(*) as n, sum(y) as e from (select node, y, unnest([{', '.join(repr(c) for c in CODED)}]) as feature, unnest([{', '.join(CODED)}]) as code from {rows}) group by 1, 2, 3",
+            f"cr{tag}": f"""select *, sum(n) over (partition by node, feature) as tn, sum(e) over (partition by node, feature) as te, sum(n) over w as ln, sum(e) over w as le from cc{tag}
+                window w as (partition by node, feature order by code nulls first rows between unbounded preceding and current row)""",
+            f"cb{tag}": f"""select * from (select *, row_number() over (partition by node order by gain desc, feature, code) as r from (
+                select *, {_GAIN.format(n='tn', e='te', m='ln', l='le')} as gain from cr{tag} where code is not null and ln >= 20 and tn - ln >= 20) where gain > 0) where r = 1"""}
+
+
+TREE = {"k1": "select 1 as node, Target_T24::int as y, " + ", ".join(f"{e} as {c}" for c, e in CODED.items()) + " from targets where Target_T24 is not null",
+        **_level_sql("k1", 1),
+        "k2": "select k1.* replace (case when coalesce(list_extract([" + ", ".join(f"k1.{c}" for c in CODED) + "], list_position([" + ", ".join(repr(c) for c in CODED) + "], cb1.feature)) > cb1.code, false) then 3 else 2 end as node) from k1 join cb1 on k1.node = cb1.node",
+        **_level_sql("k2", 2)}
+_SPLIT = "cast(node as bigint) as node, feature, code, cast(tn as bigint) as n, cast(te as bigint) as events, cast(ln as bigint) as left_n, cast(le as bigint) as left_events, gain"
+
+
+def _coded(v):
+    return v.targets.selectExpr("cast(Target_T24 as int) as y", *[
+        f"{e.replace('CreditScore // 20', 'CreditScore div 20').replace('OriginalLoantoValueLTV // 5', 'OriginalLoantoValueLTV div 5').replace('OriginalDebttoIncomeRatio // 3', 'OriginalDebttoIncomeRatio div 3')} as {c}"
+        for c, e in CODED.items()])
+
+
+@query("exact_stump", f"select 0 as depth, {_SPLIT} from cb1", ("targets",), "gain", extra=TREE)
+def _(v):
+    return trees.grow(_coded(v), list(CODED), "y", 1, 20)
+
+
+@query("exact_tree", f"select 0 as depth, {_SPLIT} from cb1 union all select 1, {_SPLIT} from cb2", ("targets",), "gain", extra=TREE)
+def _(v):
+    return trees.grow(_coded(v), list(CODED), "y", 2, 20)
+
+
+_SPLITS = {**TREE, "sp": "select feature, gain * tn as w from cb1 union all select feature, gain * tn from cb2"}
+
+
+@query("tree_importance", "select feature, sum(w) / (select sum(w) from sp) as importance from sp group by 1", ("targets",), "importance", extra=_SPLITS)
+def _(v):
+    return trees.importance(trees.grow(_coded(v), list(CODED), "y", 2, 20))
+
+
+@query("top_features", """select 'LogReg' as model, horizon, feature, importance, cast(rank as int) as rank from (select *, row_number() over (partition by horizon order by importance desc, feature) as rank from ("""
+       + " union all ".join(f"select {h} as horizon, 'x' || i as feature, round(abs(b[i]), 5) as importance from (select unnest(range(1, p + 1)) as i from g{h}_st), g{h}_be" for h in V.HORIZONS)
+       + ")) where rank <= 15", ("targets",), "importance", digits=5, extra=LOGITS)
+def _(v):
+    """The largest standardised slopes of the fitted logistic models; features by place in the design matrix."""
+    train, _, feats = _frames(v, V.HORIZONS)
+    _, rows = M.fit_horizons(train, feats, V.HORIZONS, "loan_key", ["LogReg"])
+    last, cut = len(feats), 2 * len(_NUM)
+    place = {f: i + 1 if i < cut else cut + 1 if i == last - 1 else i + 2 for i, f in enumerate(feats)}
+    table = v.spark.createDataFrame([(m, h, f"x{place[f]}", round(imp, 5)) for m, h, f, imp, _ in rows], "model string, horizon int, feature string, importance double")
+    return reports.top_features(table)
+
+
+# --- classifiers and Cox side by side ------------------------------------------------------------
+def _cox_beside(v):
+    """Logistic and Cox predictions of the test loans; Cox is NULL where a covariate is missing."""
+    from ..operators import cox
+
+    x = split.vintage_split(v.targets, V.TRAIN_END, V.TEST_START, V.TEST_END)
+    wide, _, _ = _scored(v, ["LogReg"], V.HORIZONS)
+    train, test = x.where("split = 'train'"), x.where("split = 'test'")
+    enc = encode.fit_cox_encoder(train)
+    model = cox.fit(encode.cox_features(train, enc), K.COX_COVARIATES, penalizer=0.001, label="Cox")
+    right = cox.horizon_probabilities(encode.cox_features(test, enc), model, V.HORIZONS).select("loan_key", *[f"pred_Cox_T{h}" for h in V.HORIZONS])
+    return reports.merge_predictions(wide, right, "loan_key")
+
+
+from .catalog_models import COX_VIEW, _COX_RAW, _list  # noqa: E402
+from .newton_sql import newton_lists  # noqa: E402
+
+_FLAGS = COX_VIEW["c0"][COX_VIEW["c0"].index("cast(OriginalDebttoIncomeRatio is null"):COX_VIEW["c0"].rindex(" from surv")]
+_COX_FIT = newton_lists("y0", 7, 0.001)
+_RENAMED = {n: "z" + n for n in _COX_FIT}
+
+
+def _renamed(text):
+    import re
+
+    return re.sub(r"\b(" + "|".join(sorted(_RENAMED, key=len, reverse=True)) + r")\b", lambda m: _RENAMED[m.group(1)], text)
+
+
+BESIDE = {**LOGITS, "yd": f"select median(OriginalDebttoIncomeRatio) as md from surv where {TRAIN}",
+          "y1": f"select *, coalesce(OriginalDebttoIncomeRatio, (select md from yd)) as dti, {_FLAGS} from surv",
+          "y2": "select " + ", ".join(f"avg({c}) as m_{z}, stddev_samp({c}) as s_{z}" for z, c in _COX_RAW.items()) + f" from y1 where {TRAIN}",
+          "y3": "select y1.*, " + ", ".join(f"({c} - m_{z}) / s_{z} as {z}" for z, c in _COX_RAW.items()) + " from y1, y2",
+          "y0": f"select Duration as t, Event_Prepay as e, 1e0 as w, {_list(*K.COX_COVARIATES)} as x from y3 where {TRAIN} and FICO_z is not null and LTV_z is not null and Rate_z is not null",
+          **{_RENAMED[n]: _renamed(q) for n, q in _COX_FIT.items()},
+          # the baseline is taken at x = 0: shift by the means of the fit
+          "yb": _renamed("select t, sum(wd / risk * exp(-sh)) over (order by t) as H0 from tt_7, (select list_inner_product(list_transform(b, lambda v, i: v / s[i]), m) as sh from be7, st)"),
+          "yp": "select loan_key, " + ", ".join(f"1 - exp(-coalesce((select max(H0) from yb where t <= {h}), 0) * exp(eta)) as pred_Cox_T{h}" for h in V.HORIZONS) + " from ("
+                + _renamed(f"select loan_key, case when FICO_z is not null and LTV_z is not null and Rate_z is not null then list_inner_product({_list(*K.COX_COVARIATES)}, list_transform(b, lambda v, i: v / s[i])) end as eta from y3, be7, st") + ")",
+          "yl": " union all ".join(f"select model, {h} as horizon, y, p from lk where horizon = {h} union all select 'Cox', {h}, y, pred_Cox_T{h} from lk join yp using (loan_key) where horizon = {h} and pred_Cox_T{h} is not null" for h in V.HORIZONS)}
+
+
+@query("prediction_metrics", metrics_sql("yl", "model, horizon"), ("targets",), FL, digits=5, extra=BESIDE)
+def _(v):
+    wide = _cox_beside(v)
+    return metrics.binary_metrics(metrics.predictions_long(wide, ["LogReg", "Cox"], V.HORIZONS, ["loan_key"]), ["model", "horizon"])
+
+
+@query("merge_predictions", f"select lg.loan_key, {', '.join(f'max(case when horizon = {h} then p end) as pred_LogReg_T{h}' for h in V.HORIZONS)}, {', '.join(f'max(pred_Cox_T{h}) as pred_Cox_T{h}' for h in V.HORIZONS)} from lg left join yp using (loan_key) group by 1",
+       ("targets",), " ".join(f"pred_{m}_T{h}" for m in ("LogReg", "Cox") for h in V.HORIZONS), digits=5, extra=BESIDE)
+def _(v):
+    return _cox_beside(v).select("loan_key", *[f"pred_{m}_T{h}" for m in ("LogReg", "Cox") for h in V.HORIZONS])

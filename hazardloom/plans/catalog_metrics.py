@@ -174,17 +174,3 @@ def _(v):
 def _(v):
     x = v.labels.withColumns({f"cif_{h}": F.round(F.lit(0.1) * (F.col("OriginalInterestRate") - F.lit(2.5)) + F.lit(h / 200), 4) for h in V.HORIZONS})
     return M.horizon_incidence_metrics(x, V.HORIZONS, "duration", "event_type", 1)
-
-
-@query("top_features", """select model, horizon, feature, importance, rank from (select *, cast(row_number() over (partition by model, horizon order by importance desc, feature) as int) as rank from (
-    select 'freq' as model, 12 as horizon, PropertyState as feature, count(*)::double as importance from surv group by 3)) where rank <= 15""", ("surv",), "importance")
-def _(v):
-    x = v.surv.groupBy(F.lit("freq").alias("model"), F.lit(12).alias("horizon"), F.col("PropertyState").alias("feature")).agg(
-        F.count("*").cast("double").alias("importance"))
-    return reports.top_features(x)
-
-
-@query("merge_predictions", "select loan_key, pred_Rate_T12, pred_Score_T12 from scored", ("scored",), "pred_Rate_T12 pred_Score_T12")
-def _(v):
-    a = v.scores.select("loan_key", "pred_Rate_T12")
-    return reports.merge_predictions(a, v.scores.select("loan_key", "pred_Score_T12"), "loan_key")

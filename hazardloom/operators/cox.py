@@ -382,6 +382,15 @@ def divergence(df: DataFrame, a: str, b: str, strong: float = 0.05, gap: float =
     return df.withColumn("flag", flag)
 
 
+def shifts(df: DataFrame, a: str, b: str, levels: Sequence[float] = (0.1, 0.2)) -> DataFrame:
+    """Difference of two coefficient columns with the largest of `levels` that it exceeds as its flag."""
+    gap = F.col(a) - F.col(b)
+    flag = F.lit("")
+    for level in sorted(levels):
+        flag = F.when(F.abs(gap) > level, f">{level:g}").otherwise(flag)
+    return df.withColumns({"difference": gap, "flag": flag})
+
+
 # --- nonlinear basis --------------------------------------------------------------------------
 def bin_factors(df: DataFrame, columns: Sequence[str], bins: int = 4, fit_on=None) -> tuple[DataFrame, list[Factor]]:
     """Quantile bins of the given columns as factors: code i holds values above the i-th edge and

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -239,6 +240,34 @@ def dynamic_concordance(panel: DataFrame, horizons: Sequence[int], risk: str, ev
     return _guarded(concordance(x, "time_h", "event_h", "risk", ["horizon"]), sizes, min_rows, min_events)
 
 
+def landmark_comparison(panel: DataFrame, horizons: Sequence[int], static: str, dynamic: str, event: str = "event",
+                        time: str = "tstop", start: str = "tstart") -> DataFrame:
+    """Two fits judged on the same loans at each horizon: C and the Breslow partial log-likelihood of
+    their scores (as offsets) with times capped at the horizon.
+
+    The static score is that of a loan's first interval, the dynamic one of its last interval that
+    ends by the horizon; one aggregate by loan gives both for all horizons, and a loan without
+    either score is left out for both fits.
+    """
+    stop = F.col(time)
+    snap = panel.groupBy("loan_id").agg(
+        F.max(stop).alias("duration"), F.max(event).alias("event"), F.max(F.when(F.col(start) == 0, F.col(static))).alias("static"),
+        *[F.max_by(dynamic, F.when((stop <= h) & F.col(dynamic).isNotNull(), stop)).alias(f"r{h}") for h in horizons])
+    cells = [F.struct(F.lit(h).alias("horizon"), F.lit(m).alias("model"), F.when(F.col("static").isNotNull() & F.col(f"r{h}").isNotNull(), F.col(c)).alias("risk"))
+             for h in horizons for m, c in (("static", "static"), ("time_varying", f"r{h}"))]
+    x = snap.select("duration", "event", F.explode(F.array(*cells)).alias("s")).select("duration", "event", "s.*").where("risk is not null")
+    x = x.withColumns({"time_h": F.least("duration", "horizon"), "event_h": C.flag((F.col("event") == 1) & (F.col("duration") <= F.col("horizon")))})
+    by = ["model", "horizon"]
+    months = x.groupBy(*by, "time_h").agg(F.count("*").alias("n"), F.sum("event_h").alias("d"), F.sum(F.exp("risk")).alias("r"),
+                                          F.sum(F.col("event_h") * F.col("risk")).alias("eta"))
+    w = W.partitionBy(*by).orderBy(F.desc("time_h")).rowsBetween(W.unboundedPreceding, 0)
+    months = months.withColumn("at_risk", F.sum("r").over(w))
+    fit = months.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("d").alias("n_events"), F.sum(
+        F.when(F.col("d") > 0, F.col("eta") - F.col("d") * F.log("at_risk")).otherwise(0.0)).alias("loglik"))
+    c = concordance(x, "time_h", "event_h", "risk", by).select(*by, "c_index")
+    return fit.join(c, by, "left").select(*by, "n", "n_events", "c_index", "loglik")
+
+
 def horizon_incidence_metrics(df: DataFrame, horizons: Sequence[int], time: str, cause: str, k: int,
                               prefix: str = "cif", min_class: int = 2) -> DataFrame:
     """AUC and Brier of incidence columns <prefix>_<h> against "cause k by h"."""

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import constants as K
-from ..operators import compete, cox, curves, encode, reports
+from ..operators import compete, cox, curves, encode, metrics, reports
 from ..operators import panel as P
 from ..sources.staging import stage
 from . import views as V
-from .newton_sql import _sums, _total, coef_rows, list_coef_rows, newton, newton_lists
+from .newton_sql import _sums, _total, coef_rows, list_coef_rows, newton, newton_lists, prefixed
 from .registry import query
 
 ID = "loan_key"
@@ -126,6 +126,17 @@ def _(v):
     return cox.divergence(cox.compare_coefficients(tables), "prepay", "default")
 
 
+@query("coefficient_shifts", """select covariate, prepay, "default", prepay - "default" as difference, case when abs(prepay - "default") > 0.2 then '>0.2' when abs(prepay - "default") > 0.1 then '>0.1' else '' end as flag from (
+    select 'x1' as covariate, a.b1 as prepay, b.b1 as "default" from fa_fin a, fb_fin b union all select 'x2', a.b2, b.b2 from fa_fin a, fb_fin b)""",
+       ("sl",), 'prepay "default" difference', extra=CAUSES)
+def _(v):
+    # the second model names its covariates differently; the alias map brings them together
+    x = _rows(v).withColumns({"score": F.col("x1"), "rate": F.col("x2")})
+    a = cox.fit(x, NAMES, time="t", event="e", penalizer=0.1).coefficients(v.spark)
+    b = cox.fit(x, ("score", "rate"), time="t", event="defaulted", penalizer=0.1).coefficients(v.spark)
+    return cox.shifts(cox.compare_coefficients({"prepay": a, "default": b}, {"score": "x1", "rate": "x2"}), "prepay", "default")
+
+
 # --- baseline and predictions -------------------------------------------------------------------
 _BH = {"bm": f"""select t, sum(d)::bigint as d, sum(r) as r from (select Duration as t, Event_Prepay as d, exp(0.3e0 * (CreditScore - 700) / 100e0 - 0.2e0 * (OriginalInterestRate - 5)) as r from surv {_KEEP}) group by 1""",
        "bk": "select t, d, sum(r) over (order by t rows between current row and unbounded following) as risk from bm",
@@ -356,6 +367,39 @@ def _(v):
     return _coef(cox.fit(_tv_rows(v), _TV, time="tstop", event="event", start="tstart", penalizer=0.01, label="time_varying"), v)
 
 
+# --- static against time-varying covariates on the same landmark rows ------------------------------------
+_PAIR = "[rate_incentive, (FICO - 700) / 100e0]"
+_EVAL = " union all ".join(
+    f"""select '{m}' as model, {h} as horizon, least(d, {h}) as t, case when ev = 1 and d <= {h} then 1 else 0 end as e, {c} as s from ls join (
+        select loan_id, arg_max(score, loan_age) as rd from ld where loan_age + 1 <= {h} group by 1) using (loan_id) where rs is not null"""
+    for h in V.HORIZONS for m, c in (("static", "rs"), ("time_varying", "rd")))
+LANDMARK = {
+    **prefixed({"r0": f"select loan_age + 1 as t, prepaid_month as e, 1e0 as w, {_PAIR} as x from panel where rate_incentive is not null and FICO is not null",
+                **newton_lists("r0", 6, 0.01, cumulative=False)}, "dy_"),
+    "lo": "select loan_id, max(loan_age) + 1 as d, max(prepaid_month) as ev from panel group by 1",
+    **prefixed({"r0": f"select d as t, ev as e, 1e0 as w, {_PAIR} as x from panel join lo using (loan_id) where loan_age = 0 and rate_incentive is not null and FICO is not null",
+                **newton_lists("r0", 7, 0.01)}, "st_"),
+    "ls": f"select lo.*, round(list_inner_product({_PAIR}, b), 6) as rs from lo join panel using (loan_id), (select list(b order by i) as b from st_coefs) where loan_age = 0 and rate_incentive is not null and FICO is not null",
+    "ld": f"select loan_id, loan_age, round(list_inner_product({_PAIR}, b), 6) as score from panel, (select list(b order by i) as b from dy_coefs) where rate_incentive is not null and FICO is not null",
+    "le": _EVAL, "cg": "select model, horizon, t, e, s, count(*) as c from le group by all",
+    "pr": """select i.model, i.horizon, sum(case when i.s > j.s then i.c * j.c when i.s = j.s then 0.5e0 * i.c * j.c else 0 end)::double as concordant, sum(i.c * j.c)::double as pairs
+        from cg i join cg j on i.model = j.model and i.horizon = j.horizon and i.e = 1 and (i.t < j.t or (i.t = j.t and j.e = 0)) group by 1, 2""",
+    "lm": "select model, horizon, t, count(*) as n, sum(e) as d, sum(exp(s)) as r, sum(e * s) as eta from le group by all",
+    "lk": "select *, sum(r) over (partition by model, horizon order by t desc) as risk from lm",
+}
+
+
+@query("static_against_dynamic", """select model, horizon, n, n_events, concordant / pairs as c_index, loglik from (select model, horizon, cast(sum(n) as bigint) as n, cast(sum(d) as bigint) as n_events,
+    sum(case when d > 0 then eta - d * ln(risk) else 0 end) as loglik from lk group by 1, 2) join pr using (model, horizon)""", ("panel",), "c_index loglik", digits=4, extra=LANDMARK)
+def _(v):
+    names = ["rate_incentive", "fico"]
+    x = stage(P.counting_process(v.panel).select("loan_id", "loan_age", "tstart", "tstop", "event", "prepaid_month", "rate_incentive", ((F.col("FICO") - 700) / 100.0).alias("fico")))
+    dynamic = cox.fit(x, names, time="tstop", event="event", start="tstart", penalizer=0.01)
+    static = cox.fit(P.origination_snapshot(x).join(P.loan_exits(x), "loan_id"), names, time="duration", event="event_prepay", penalizer=0.01)
+    scored = x.withColumns({"s": F.round(cox.log_hazard(static.beta), 6), "d": F.round(cox.log_hazard(dynamic.beta), 6)})
+    return metrics.landmark_comparison(scored, V.HORIZONS, "s", "d")
+
+
 FG_VIEW = {**_G, **COX_VIEW, "r0": f"select Duration as t, cast(Prepaid as int) as e, cast(CreditTerminated as int) as c, 1e0 as w, {_list(*K.COX_COVARIATES)} as x from cz"}
 
 

@@ -144,6 +144,14 @@ def _variance(tag: str, beta: str, name: str = "coefs") -> dict[str, str]:
             name: f"select i, b[i] / st.s[i] as b, sqrt(v.m[i][len(v.m) + i]) / st.s[i] as se from (select unnest(range(1, p + 1)) as i from st), st, {beta}, in{name} v"}
 
 
+def prefixed(ctes: dict[str, str], prefix: str) -> dict[str, str]:
+    """The same CTEs under other names, for two fits in one query."""
+    import re
+
+    pattern = re.compile(r"\b(" + "|".join(sorted(ctes, key=len, reverse=True)) + r")\b")
+    return {prefix + n: pattern.sub(lambda m: prefix + m.group(1), q) for n, q in ctes.items()}
+
+
 def list_coef_rows(names, coefs: str = "coefs") -> str:
     z = "1.959963984540054e0"
     label = "[" + ", ".join(f"'{n}'" for n in names) + "]"

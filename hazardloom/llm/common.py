@@ -87,6 +87,23 @@ def numbered(df: DataFrame, order: list[Column], name: str, rows: int, ties: lis
     return before(df.withColumn("_one", F.lit(1).cast("long")), "_one", cells, ties, name, by).drop("_one")
 
 
+def hash_bits(hashes: DataFrame, column: str, most: int = 27) -> np.ndarray:
+    """Bitmap of the low bits of a column of 64-bit hashes of a saved table: about 16 bits a row, 2^most at most."""
+    size = 1 << min(most, max(10, (16 * hashes.count() - 1).bit_length()))
+    at = F.col(column).bitwiseAND(F.lit(size - 1))
+    found = hashes.select(F.shiftright(at, 6).cast("int").alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
+    found = found.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(size // 64, np.uint64)
+    out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def in_bits(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash may be in the bitmap; never False for one that is."""
+    at = hashes.astype(np.int64).view(np.uint64) & np.uint64(len(bits) * 64 - 1)
+    return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column in a row, and len + 1 offsets into them; null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardloom.llm.common import Scratch, slices, utf8
+from hazardloom.llm.common import Scratch, hash_bits, in_bits, slices, utf8
 from hazardloom.llm.jaccard import mix
 
 LENGTH, GRAM = 400, 225
@@ -270,9 +270,25 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["anchor", "seg", "off", "cnt", "bytes"])
 
-    places = unlike.groupBy("th").agg(F.collect_list(F.struct("anchor", "seg", "lo", "cnt", "off")).alias("s"))
-    source = docs.hint("merge").join(places, "th").select("th", "text", "s")
+    def marked(bits: object, wanted: bool) -> object:
+        """Keeps rows (h, ...) whose hash is in the bitmap, or those whose hash is not; h goes."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                on = in_bits(bits.value, batch.column(0).to_numpy()) == wanted
+                if on.any():
+                    yield pa.RecordBatch.from_arrays([c.filter(pa.array(on)) for c in batch.columns[1:]], batch.schema.names[1:])
+        return run
+
+    # one row of each text with places moves: its least id, found by a bitmap, so that no other text is shuffled
+    places = scratch.save(unlike.groupBy("th").agg(F.collect_list(F.struct("anchor", "seg", "lo", "cnt", "off")).alias("s")))
+    one = F.xxhash64("th", "doc_id").alias("h")
+    first = docs.groupBy("th").agg(F.min("doc_id").alias("doc_id")).join(places.select("th"), "th", "left_semi")
+    chosen = scratch.save(first.select(one))
+    bits = spark.sparkContext.broadcast(hash_bits(chosen, "h"))
+    movers = docs.select(one, "th", "text").mapInArrow(marked(bits, True), "th long, text string")
+    source = movers.hint("merge").join(places, "th").select("th", "text", "s")
     bytes_ = scratch.save(source.mapInArrow(cut, "anchor long, seg long, off int, cnt int, bytes binary"))
+    scratch.drop(places)
     scratch.release()
     quarters = _quarters(bytes_, length, gram)
     crowded = scratch.save(quarters.select("sub", F.octet_length("bytes").alias("size")).groupBy("sub").agg(F.count("*").alias("c"), F.sum("size").alias("size"))
@@ -280,19 +296,26 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     groups = quarters.join(crowded.where("not large").select("sub"), "sub").repartition("sub").sortWithinPartitions("sub", "anchor", "seg")
     parts = scratch.save(_expanded(groups.select("sub", "anchor", "seg", "start", "bytes"), length))
     large = crowded.where("large").select("sub")
+    more = None
     if not large.isEmpty():
-        parts = parts.union(scratch.save(_counted(quarters.join(large, "sub"), length, scratch)))
+        more = scratch.save(_counted(quarters.join(large, "sub"), length, scratch))
+    scratch.drop(bytes_)
+    scratch.drop(crowded)
     scratch.release()
-    ranges = unlike.where("n > 1").select("anchor", "seg", F.lit(0).alias("a"), (F.col("cnt") - 1).alias("b")).union(parts)
+    ranges = unlike.where("n > 1").select("anchor", "seg", F.lit(0).alias("a"), (F.col("cnt") - 1).alias("b")).union(parts if more is None else parts.union(more))
     spans = (met.where("not mixed").select("th", "lo", F.lit(0).alias("a"), (F.col("cnt") - 1).alias("b"))
              .union(met.where("mixed").join(ranges, ["anchor", "seg"]).select("th", "lo", "a", "b")))
-    spans = spans.groupBy("th").agg(F.collect_set(F.struct((F.col("lo") + F.col("a")).alias("s"), (F.col("lo") + F.col("b") + length).alias("e"))).alias("spans"))
+    spans = scratch.save(spans.groupBy("th").agg(F.collect_set(F.struct((F.col("lo") + F.col("a")).alias("s"), (F.col("lo") + F.col("b") + length).alias("e"))).alias("spans")))
+    for table in (met, unlike, parts, more):
+        if table is not None:
+            scratch.drop(table)
+    scratch.release()
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, offsets = utf8(batch.column(1))
             rows = []
-            for k, found in enumerate(batch.column(2).to_pylist()):
+            for k, found in enumerate(batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows):
                 raw = data[offsets[k]:offsets[k + 1]]
                 runs: list[list[int]] = []
                 for s in sorted((s["s"], s["e"]) for s in found or ()):
@@ -310,5 +333,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))],
                                              ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
-    return docs.join(spans, "th", "left").select("doc_id", "text", "spans").mapInArrow(
-        kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string")
+    result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
+    cut_bits = spark.sparkContext.broadcast(hash_bits(spans, "th"))
+    touched = docs.select(F.col("th").alias("h"), "doc_id", "text", "th").mapInArrow(marked(cut_bits, True), "doc_id long, text string, th long")
+    whole = docs.select(F.col("th").alias("h"), "doc_id", "text").mapInArrow(marked(cut_bits, False), "doc_id long, text string")
+    return (touched.join(spans, "th", "left").select("doc_id", "text", "spans").mapInArrow(kept, result)
+            .union(whole.mapInArrow(kept, result)))

@@ -271,9 +271,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["anchor", "seg", "off", "cnt", "bytes"])
 
     def marked(bits: object, wanted: bool) -> object:
-        """Keeps rows (h, ...) whose hash is in the bitmap, or those whose hash is not; h goes."""
+        """Keeps rows (h, _, text, ...) whose hash is in the bitmap, or those whose hash is not; h goes."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches, 2):
                 on = in_bits(bits.value, batch.column(0).to_numpy()) == wanted
                 if on.any():
                     yield pa.RecordBatch.from_arrays([c.filter(pa.array(on)) for c in batch.columns[1:]], batch.schema.names[1:])
@@ -336,6 +336,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
     cut_bits = spark.sparkContext.broadcast(hash_bits(spans, "th"))
     touched = docs.select(F.col("th").alias("h"), "doc_id", "text", "th").mapInArrow(marked(cut_bits, True), "doc_id long, text string, th long")
-    whole = docs.select(F.col("th").alias("h"), "doc_id", "text").mapInArrow(marked(cut_bits, False), "doc_id long, text string")
+    rest = marked(cut_bits, False)
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return kept(rest(batches))
+
     return (touched.join(spans, "th", "left").select("doc_id", "text", "spans").mapInArrow(kept, result)
-            .union(whole.mapInArrow(kept, result)))
+            .union(docs.select(F.col("th").alias("h"), "doc_id", "text").mapInArrow(untouched, result)))

@@ -20,7 +20,7 @@ HEADLINE = [
     "feature_matrix", "cox_fit", "cox_base_model", "cox_macro_model", "model_metrics",
     "stratified_metrics", "calibration", "concordance", "panel_profile", "current_ltv",
     "andersen_gill_fit", "time_varying_model", "landmark_dynamic", "fine_gray_weighted",
-    "ranking_loss", "loan_cash_flows", "portfolio_scenarios", "logistic_horizons",
+    "ranking_loss", "loan_cash_flows", "portfolio_scenarios", "logistic_horizons", "nonlinear_cox_model", "exact_tree",
 ]
 
 

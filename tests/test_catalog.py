@@ -12,7 +12,8 @@ FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
 NAMES = ["survival_table", "km_by_stratum", "hazard_overall", "stratified_incidence", "horizon_targets", "carve_validation",
          "cox_fit_ridge", "cause_specific_fits", "fine_gray_weighted", "fine_gray_subdistribution", "andersen_gill_fit",
-         "stratified_metrics", "calibration", "landmark_dynamic", "current_ltv", "macro_panel", "duration_convexity", "total_loss"]
+         "stratified_metrics", "calibration", "landmark_dynamic", "current_ltv", "macro_panel", "duration_convexity", "total_loss", "fitted_rate_response",
+         "fitted_covariate_shock", "fitted_scenario_summary"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from hazardloom.llm.common import slices, utf8
 
-#: Documents of each class that a fit uses at most, and lines of each.
-SAMPLE_DOCS, SAMPLE_LINES = 4000, 32
+#: Documents of each class that a fit uses at most, each of them whole.
+SAMPLE_DOCS = 4000
 
 _CLASS = np.zeros(256, np.uint8)
 for _k, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789", b" \t",
@@ -181,11 +181,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, keep, per_cl
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(True), per_class: int = SAMPLE_DOCS,
-                lines: int = SAMPLE_LINES, steps: int = 120) -> QualityModel:
+                steps: int = 120) -> QualityModel:
     """Fit on labelled documents for which keep(doc_id) holds; a line inherits its document's label.
 
-    The sample is bounded by `per_class` documents of each class and `lines` consecutive lines of each,
-    from a place that a hash of the id chooses; their features (not texts) reach the driver.
+    The sample is bounded by `per_class` documents of each class, chosen by a hash of the id and learnt from whole;
+    the features of their lines (not texts) reach the driver.
     """
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -194,8 +194,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(Tr
             rows = []
             for i in range(len(ids)):
                 a, b = int(bounds[i]), int(bounds[i + 1])
-                a += (ids[i] * 2654435761 % 2**32) % max(1, b - a - lines + 1)
-                b = min(b, a + lines)
                 rows.append((ids[i], y[i], x[a:b].tobytes(), size[a:b].astype(np.int64).tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["id", "y", "x", "size"])

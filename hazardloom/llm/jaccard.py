@@ -317,4 +317,5 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stand for their component: those with its least id (texts with an empty set all stay)."""
     found = similar_components(docs, words, percent).where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # names of docs can't clash inside
+    return rows.join(found, F.col("_row.doc_id").eqNullSafe(F.col("_keep")), "left_semi").select("_row.*")

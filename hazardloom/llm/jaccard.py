@@ -12,7 +12,8 @@
 
 Results are the exact components: the linear rounds only save pairs whose ends are already connected.
 Defined results: null, empty and wordless texts have an empty set and stand alone; rows that repeat an id get
-one row each, and equal texts share a component; a text of fewer words than a shingle is one shingle.
+one row each with the component of their own text, and equal texts share a component; a row without an id has the
+component of an equal text that has one, else none; columns beside doc_id and text are not read; a text of fewer words than a shingle is one shingle.
 """
 
 from __future__ import annotations
@@ -221,14 +222,15 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text, ...)."""
     t, scratch = Fraction(percent, 100), Scratch(docs.sparkSession, "jaccard")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = scratch.save(_described(docs, words, t, counters(docs, words, n_counters)))
-    classes = scratch.save(described.where("n > 0").groupBy("n", "h1", "h2")
-                           .agg(F.min("doc_id").alias("cid"), F.first(F.xxhash64("prefix")).alias("ph")).where("cid is not null"))
+    described = _described(docs, words, t, counters(docs, words, n_counters))
+    described = scratch.save(described.withColumn("rid", F.monotonically_increasing_id()))
+    # a class is named by one of its rows, as an id may repeat with different texts; did finds its text
+    classes = scratch.save(described.where("n > 0 and doc_id is not null").groupBy("n", "h1", "h2")
+                           .agg(F.min("rid").alias("cid"), F.min("doc_id").alias("did"), F.first(F.xxhash64("prefix")).alias("ph")))
     members = scratch.save(classes.join(classes.groupBy("n", "ph").agg(F.min("cid").alias("gid")), ["n", "ph"])
-                           .select("cid", "gid", "n", "h1", "h2"))
-    heads = members.where("cid = gid").select(F.col("gid").alias("doc_id"), "n", "h1", "h2")
-    groups = (described.join(heads, ["doc_id", "n", "h1", "h2"]).select(F.col("doc_id").alias("gid"), "n", "prefix", "heavy")
-              .dropDuplicates(["gid"]))
+                           .select("cid", "did", "gid", "n", "h1", "h2"))
+    heads = members.where("cid = gid").select(F.col("gid").alias("rid"))
+    groups = described.join(heads, "rid").select(F.col("rid").alias("gid"), "n", "prefix", "heavy")
     # shingles held by one group only can't make a pair; a light one's holders are few, a heavy one is kept unseen
     rows = _exploded(groups)
     held = rows.withColumn("salt", F.when(F.col("heavy"), F.xxhash64("gid")).otherwise(0))
@@ -244,20 +246,23 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     wanted = members.join(posts.select("gid").union(crowded).distinct(), "gid", "left_semi")
 
     def same_set(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # a merge join returns the rows of an id one after the other
+        last, met = None, set()  # a merge join returns the rows of an id one after the other
         for batch in slices(batches):
             value, bounds = shingle_sets(*utf8(batch.column(1)), words)
             h1, h2 = signatures(value, bounds)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
             ok = (h1 == batch.column(2).to_numpy(zero_copy_only=False)) & (h2 == batch.column(3).to_numpy(zero_copy_only=False))
-            at = np.flatnonzero(ok)
-            at = at[np.append(True, ids[at][1:] != ids[at][:-1])] if len(at) else at
-            if len(at) and last == ids[at[0]]:
-                at = at[1:]
-            last = ids[at[-1]] if len(at) else last
-            yield batch.select(["cid", "text"]).take(pa.array(at))
-
-    texts = docs.hint("merge").join(wanted.select(F.col("cid").alias("doc_id"), "h1", "h2"), "doc_id").select(F.col("doc_id").alias("cid"), "text", "h1", "h2")
+            ids, classes = batch.column(4).to_numpy(zero_copy_only=False), batch.column(0).to_numpy(zero_copy_only=False)
+            at = []
+            for i in np.flatnonzero(ok).tolist():
+                if ids[i] != last:
+                    last, met = ids[i], set()
+                if classes[i] not in met:
+                    met.add(classes[i])
+                    at.append(i)
+            yield batch.select(["cid", "text"]).take(pa.array(at, pa.int64()))
+
+    texts = (docs.hint("merge").join(wanted.select(F.col("did").alias("doc_id"), "cid", "h1", "h2"), "doc_id")
+             .select("cid", "text", "h1", "h2", "doc_id"))
     texts = scratch.save(texts.mapInArrow(same_set, "cid long, text string"))
     scratch.release()
     marked = scratch.save(posts.join(rare, "gid"))
@@ -309,7 +314,10 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
              .select(F.col("cid").alias("a"), "b"))
     edges = edges.union(_verified(expanded.union(inner).distinct(), texts, words, percent))
     comp = components(edges, scratch)
-    named = members.join(comp.withColumnRenamed("node", "cid"), "cid", "left").select("n", "h1", "h2", F.coalesce("component", "cid").alias("component_id"))
+    comp = scratch.save(comp.withColumnRenamed("node", "cid"))
+    least = members.join(comp, "cid").groupBy("component").agg(F.min("did").alias("least"))
+    named = (members.join(comp.join(least, "component"), "cid", "left")
+             .select("n", "h1", "h2", F.coalesce("least", "did").alias("component_id")))
     out = slim.select("doc_id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

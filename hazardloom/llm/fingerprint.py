@@ -1,6 +1,6 @@
 """Invertible Bloom sketches of a text's paragraphs, subtracted and peeled; DataFrame and SQL functions only.
 
-A text's key set holds a 64-bit digest of each distinct non-empty line. Its sketch is three rows of `side` cells;
+A text's key set holds a 64-bit digest of each distinct non-empty cell: a line, or a part of a long one. Its sketch is three rows of `side` cells;
 each key adds one to the count, and its value and check hash by xor, in one cell of every row. The difference of
 two sketches holds only the keys that differ; cells with a single key are peeled in parallel rounds until nothing
 is left, which recovers the differing digests. Sketches that do not empty are retried three times larger; before
@@ -20,11 +20,22 @@ from pyspark.sql import functions as F
 from hazardloom.llm.common import Scratch
 
 SIDE, ROUNDS, SHARD = 12, 10, 64
+#: A line over LINE code points is cut after some sentences, a piece over PIECE then after some words, and what is
+#: still longer into blocks. The first two depend on the letters before the cut only, blocks count from the start of
+#: their piece, so an edit leaves the cells before it, and mostly those behind it, as they are.
+LINE, PIECE, BLOCK = 200, 400, 64
+SENTENCE_END, WORD_END = r"(?<=[enrt][.!?;:|])\s+", r"(?<=[aeiou][nt])\s+"
 
 
 def keys_of(text: Column) -> Column:
-    lines = F.array_distinct(F.filter(F.split(text, "\n"), lambda x: x != ""))
-    return F.transform(lines, lambda x: F.xxhash64(x))
+    """Digests of the distinct paragraph cells: short lines whole, long ones cut where their own content says."""
+    def cut(pieces: Column, longest: int, into) -> Column:
+        return F.flatten(F.transform(pieces, lambda x: F.when(F.length(x) <= longest, F.array(x)).otherwise(into(x))))
+
+    cells = cut(F.split(text, "\n"), LINE, lambda x: F.split(x, SENTENCE_END))
+    cells = cut(cells, PIECE, lambda x: F.split(x, WORD_END))
+    cells = cut(cells, PIECE, lambda x: F.regexp_extract_all(x, F.lit(f"(?s)(.{{1,{BLOCK}}})"), F.lit(1)))
+    return F.transform(F.array_distinct(F.filter(cells, lambda x: x != "")), lambda x: F.xxhash64(x))
 
 
 def sketch(keys: str, side: int) -> Column:
@@ -62,8 +73,13 @@ def _with_next(docs: DataFrame, parts: int) -> DataFrame:
     end of the range before, so that a window within ranges finds every next row.
     """
     bounds = docs.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    edges = F.array(*[F.lit(int(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<bigint>")
-    placed = docs.withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("doc_id")))))
+    edges = sorted({int(b) for b in bounds})
+    step = max(1, int(len(edges) ** 0.5))  # a block of bounds first, then the place in the block
+    below = lambda some: F.size(F.filter(some, lambda b: b <= F.col("doc_id")))
+    literal = lambda some: F.array(*map(F.lit, some)).cast("array<bigint>")
+    block = F.greatest(below(literal(edges[::step])) - 1, F.lit(0)) * step
+    placed = docs.withColumn("block", block).withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(
+        F.col("block") + below(F.slice(literal(edges), F.col("block") + 1, F.lit(step))))).drop("block")
     firsts = sorted(placed.groupBy("part").agg(F.min(F.struct("doc_id", "tie")).alias("f")).select("part", "f.*").collect(), key=lambda r: r.part)
     guards = [(firsts[k - 1].part, r.doc_id, r.tie) for k, r in enumerate(firsts)]
     if not guards:
@@ -82,7 +98,7 @@ def fingerprints(docs: DataFrame, side: int = SIDE, rounds: int = ROUNDS, shard:
     spark = docs.sparkSession
     scratch = Scratch(spark, "fingerprint")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    parts = min(2000, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _with_next(docs, parts)
     n, q = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     rows = rows.select("doc_id", "text", "next_text", F.concat(F.substring("text", F.lit(1), n - q), F.substring("next_text", F.lit(1), q)).alias("edited"))

@@ -7,8 +7,9 @@ explain. A window's gain is how many bytes shorter it becomes under the toxic di
 largest gain and the number of windows whose gain reaches the threshold; the threshold is calibrated on training
 texts that the dictionaries did not see, and so is the logistic that turns the evidence into a score.
 
-The fit uses at most `per_class` labelled documents of each class, and of each at most `per_text` bytes from a
-place that a hash chooses. Scores use whole texts. Defined results: null and empty texts have no window and get the
+The fit uses at most `per_class` labelled documents of each class, each of them whole: Spark tasks count their
+windows, and the counts (not texts) reach the driver. The logistic knows how many windows a text has, so that a long
+text needs more evidence. Scores use whole texts. Defined results: null and empty texts have no window and get the
 score of no evidence; without labels of both classes the score is the labelled share of toxic documents (0 without
 labels); rows that repeat an id are scored each.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from hazardloom.llm.common import slices
 from hazardloom.llm.quality import training_sample
 
-PER_CLASS, PER_TEXT, DICTIONARY, WINDOW = 4000, 6000, 8_000, 48
+PER_CLASS, DICTIONARY, WINDOW = 4000, 8_000, 48
 #: Windows whose gain a task remembers.
 REMEMBERED = 500_000
 #: Every window stands between two fixed strings that close both dictionaries: zstandard stores very short inputs
@@ -101,7 +102,8 @@ class ToxicityModel:
 
 
 def inputs(e: np.ndarray, threshold: int) -> np.ndarray:
-    return np.stack([np.ones(len(e)), np.clip(e[:, 0] - threshold, -4, 8), np.minimum(e[:, 1], 4) - e[:, 2] * 0, (e[:, 1] > 0) * 1.0], 1)
+    """Constant, largest gain over the threshold, windows that reach it, whether one does, log of all windows."""
+    return np.stack([np.ones(len(e)), np.clip(e[:, 0] - threshold, -4, 8), np.minimum(e[:, 1], 4), (e[:, 1] > 0) * 1.0, (e[:, 2] - 5) / 2], 1)
 
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
@@ -116,14 +118,27 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
     return trained[trained.rfind(b"\x08\x00\x00\x00") + 4:] if b"\x08\x00\x00\x00" in trained[:1024] else trained
 
 
-def _without_copies(rows: list[tuple]) -> list[tuple]:
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, y, words, times, shingles) of (id, text, y): distinct windows of a whole text, blank between them, how often
+    each occurs, and digests of a share of its three-word shingles."""
+    for batch in slices(batches):
+        rows = []
+        for i, text, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            w = windows(text)
+            times = Counter(w)
+            own = {zlib.crc32(b" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))}
+            own = {x for x in own if x % 8 == 0} or own
+            rows.append((i, y, b" ".join(times), np.array(list(times.values()), np.int32).tobytes(), np.array(sorted(own), np.uint32).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+            zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["id", "y", "words", "times", "shingles"])
+
+
+def _without_copies(rows: list) -> list:
     """Rows whose text does not mostly repeat the three-word shingles of earlier ones: a copied text is one observation."""
     met: set[int] = set()
     out = []
     for row in rows:
-        w = windows(row[2])
-        own = {zlib.crc32(b" ".join(w[k:k + 3])) for k in range(max(1, len(w) - 2))}
-        own = {x for x in own if x % 8 == 0} or own
+        own = set(np.frombuffer(row.shingles, np.uint32).tolist())
         if 2 * len(own & met) <= len(own):
             out.append(row)
         met |= own
@@ -131,18 +146,16 @@ def _without_copies(rows: list[tuple]) -> list[tuple]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(True), per_class: int = PER_CLASS,
-                 per_text: int = PER_TEXT, dictionary: int = DICTIONARY) -> ToxicityModel:
-    sample = training_sample(docs, labels, "toxic", keep, per_class)
-    place = F.lit(1) + F.pmod(F.xxhash64("_id"), F.greatest(F.lit(1), F.length("_text") - per_text))
-    got = sorted(((r._id, r._y, r.t) for r in sample.select("_id", "_y", F.substring(F.col("_text"), place.cast("int"), F.lit(per_text)).alias("t")).collect()),
-                 key=lambda r: (r[0], r[2] or ""))
-    got = _without_copies(got)
-    y = np.array([r[1] for r in got])
+                 dictionary: int = DICTIONARY) -> ToxicityModel:
+    sample = training_sample(docs, labels, "toxic", keep, per_class).select("_id", "_text", "_y")
+    got = sample.mapInArrow(counted, "id long, y int, words binary, times binary, shingles binary").collect()
+    got = _without_copies(sorted(got, key=lambda r: (r.id, r.words)))
+    y = np.array([r.y for r in got])
     if len(set(y.tolist())) < 2:
         return ToxicityModel(constant=float(y.mean()) if len(y) else 0.0)
-    split = [windows(t) for _, _, t in got]
+    split = [dict(zip(r.words.split(), np.frombuffer(r.times, np.int32).tolist(), strict=True)) for r in got]
     fold = np.arange(len(got)) % 4 == 0  # for calibration, unseen by the dictionaries
-    seen = {c: Counter(w for s, v, f in zip(split, y, fold, strict=True) if v == c and not f for w in set(s)) for c in (0, 1)}
+    seen = {c: Counter(w for s, v, f in zip(split, y, fold, strict=True) if v == c and not f for w in s) for c in (0, 1)}
     n = {c: max(1, int(((y == c) & ~fold).sum())) for c in (0, 1)}
     # roots: how much more often a window, or a beginning of at least four bytes, is in toxic texts
     heads = {c: Counter() for c in (0, 1)}
@@ -169,8 +182,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, keep=lambda doc_id: F.lit(T
     ordinary = [b" " + w + b" " for w in frequent for _ in range(min(seen[0][w], 3))]
     join = lambda words: [b"".join(words[k:k + 12]) for k in range(0, len(words), 12)]
     model = ToxicityModel(_dictionary(join(toxic), dictionary), _dictionary(join(ordinary), dictionary))
-    known: dict[bytes, int] = {}
-    part = [Counter({g: k for g, k in Counter(known.setdefault(w, model.gain(w)) if w not in known else known[w] for w in s).items()}) for s in split]
+    gain = {w: model.gain(w) for w in {w for s in split for w in s}}
+    part = []  # of each text: how many of its windows have which gain
+    for s in split:
+        by_gain: Counter = Counter()
+        for w, times in s.items():
+            by_gain[gain[w]] += times
+        part.append(by_gain)
     most = np.array([max(p, default=-9) for p in part])
     held_y, held = y[fold], most[fold]
     values = range(-4, 32)

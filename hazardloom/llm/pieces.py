@@ -2,19 +2,23 @@
 
 A text is escaped as the model asks (one space in front, spaces as U+2581) and cut before every run of that sign,
 which no merge of such a model crosses. Inside a part the merge with the best score (leftmost among equals) is
-taken until none is left; a candidate merge is skipped when a hash keyed by seed, variant, place and both pieces
-falls below the dropout rate. With rate 0 the result is the library's own segmentation. All distinct parts of a
-batch merge side by side, one agenda step each per round. A text's variant is a hash of its id modulo `variants`,
-so equal parts of one variant are merged once, and the same text is cut in different ways under different ids
-or seeds.
+taken until none is left; a candidate merge is skipped when a hash keyed by seed, document, place of the part in the
+text, place in the part and both pieces falls below the dropout rate. So a word is cut anew wherever it stands, and
+with rate 0 the result is the library's own segmentation.
+
+Agendas are shared, draws are not: a remembered agenda is a part, the merges skipped so far and the merges taken
+after that. An occurrence draws for the taken ones in order; at its first skipped one it goes on with the agenda
+that skips this one too. Agendas not met yet merge side by side, one step each per round. Parts of over `LONG`
+characters, whose agendas hardly ever repeat, go through a heap instead, by the same draws: n log n in their length.
 
 Characters outside the vocabulary, and a literal U+2581 of the text, become byte pieces, so decoding gives back
 every text exactly. Defined results: a null text gives null, an empty one no pieces; rows that repeat an id and a
-text get the same pieces.
+text get the same pieces; a null id counts as 0; a column `pieces` of docs is replaced, other columns stay.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -24,14 +28,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from hazardloom.llm.common import slices
+from hazardloom.llm.jaccard import mix
 
-RATE, SEED, VARIANTS = 0.1, 17, 4
-#: Parts whose pieces a task remembers.
+RATE, SEED, LONG = 0.1, 17, 40
+#: Agendas that a task remembers.
 REMEMBERED = 400_000
 _SPACE, _LITERAL = "▁", ""
 _PART = re.compile("▁*[^▁]+|▁+")
 
 
+_GONE = -(1 << 62)
+
+
+def merge_codes(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A name for each candidate merge of a part: both pieces and the place of the left one."""
+    return mix(key.astype(np.uint64) ^ (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x94D049BB133111EB))
+
+
+def occurrence_keys(ids: np.ndarray, places: np.ndarray, seed: int) -> np.ndarray:
+    """Key of the draws of each part: seed, document, place among the text's parts."""
+    return mix(mix(ids.astype(np.int64).view(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) + places.astype(np.uint64))
+
+
 class Pieces:
     """Vocabulary and merge table of a BPE model with byte fallback."""
 
@@ -42,7 +60,6 @@ class Pieces:
         n = sp.get_piece_size()
         self.text = [sp.id_to_piece(i) for i in range(n)]
         plain = {self.text[i]: i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
-        self.plain = plain
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if any(_SPACE in t.lstrip(_SPACE) for t in plain):
             raise ValueError("a piece of this model crosses a word start")
@@ -60,6 +77,11 @@ class Pieces:
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
         # a slot table answers most lookups of pairs that do not merge without a search
+        self.pair: dict[int, int] = {}
+        self.of_char = -1 - np.arange(0x110000)
+        for t, i in plain.items():
+            if len(t) == 1:
+                self.of_char[ord(t)] = i
         self.known = np.zeros(1 << 20, bool)
         self.known[self._slot(self.key)] = True
 
@@ -67,25 +89,27 @@ class Pieces:
     def _slot(key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
 
-    def merge_all(self, parts: list[str], rate: float, seed: int, variant: int) -> list[bytes]:
-        """Piece ids (little-endian int32) of each part."""
-        index, fallback = self.plain, {}
-        ids: list[int] = []
-        size = np.empty(len(parts), np.int64)
-        for k, part in enumerate(parts):
-            at = len(ids)
-            for c in part:
-                i = index.get(c)
-                if i is None:
-                    i = -1 - fallback.setdefault(c, len(fallback))
-                ids.append(i)
-            size[k] = len(ids) - at
-        symbol = np.array(ids, np.int64)
+    def symbols(self, text: str) -> np.ndarray:
+        """Id of each character; -1 - c for a code point c that is no piece."""
+        return self.of_char[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def coded(self, symbols: list[int]) -> bytes:
+        wide: list[int] = []
+        for i in symbols:
+            wide += [i] if i >= 0 else [self.byte[x] for x in chr(-1 - i).encode("utf-8", "surrogatepass")]
+        return np.array(wide, "<i4").tobytes()
+
+    def merge_all(self, parts: list[str], skipped: list[tuple[int, ...]]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Piece ids (little-endian int32) of each part if just the merges `skipped` (codes) are skipped; codes of the
+        merges taken, in order, and their number for each part."""
+        size = np.array([len(part) for part in parts], np.int64)
+        symbol = self.symbols("".join(parts))
         part = np.repeat(np.arange(len(parts)), size)
         place = np.arange(len(symbol)) - np.repeat(np.cumsum(size) - size, size)
-        done_symbol, done_part, done_place = [], [], []
-        limit = np.uint64(int(rate * 2**53)) << np.uint64(11)
-        key0 = np.uint64((seed * 1_000_003 + variant * 7_919 + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+        done_symbol, done_part, done_place, taken, taken_part = [], [], [], [], []
+        banned = np.zeros((len(parts), max(map(len, skipped), default=0)), np.uint64)
+        for k, row in enumerate(skipped):
+            banned[k, :len(row)] = row
         while len(symbol):
             left, right = symbol[:-1], symbol[1:]
             key = (left << 32) | (right & 0xFFFFFFFF)
@@ -95,11 +119,10 @@ class Pieces:
             ok, found = ok[hit], found[hit]
             hit = self.key[found] == key[ok]
             ok, found = ok[hit], found[hit]
-            if rate > 0 and len(ok):
-                draw = (key[ok].astype(np.uint64) ^ key0) * np.uint64(0xBF58476D1CE4E5B9) + place[ok].astype(np.uint64) * np.uint64(0x94D049BB133111EB)
-                draw = (draw ^ (draw >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-                keep = (draw ^ (draw >> np.uint64(32))) >= limit
-                ok, found = ok[keep], found[keep]
+            code = merge_codes(key[ok], place[ok])
+            if banned.shape[1]:
+                keep = ~(banned[part[ok]] == code[:, None]).any(1)
+                ok, found, code = ok[keep], found[keep], code[keep]
             if not len(ok):
                 break
             made = self.made[found]
@@ -108,6 +131,7 @@ class Pieces:
             first = np.flatnonzero(np.concatenate([[True], part[ok][1:] != part[ok][:-1]]))
             best = (np.minimum.reduceat(order, first) & 0xFFFFFFFF).astype(np.int64)
             at = ok[best]
+            taken.append(code[best]), taken_part.append(part[at])
             symbol = symbol.copy()
             symbol[at] = made[best]
             stay = np.ones(len(symbol), bool)
@@ -124,21 +148,45 @@ class Pieces:
         symbol, part, place = map(np.concatenate, (done_symbol, done_part, done_place))
         order = np.lexsort((place, part))
         symbol, part = symbol[order], part[order]
-        bounds = np.searchsorted(part, np.arange(len(parts) + 1))
-        if fallback:
-            chars = list(fallback)
-            out = []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                row = symbol[a:b]
-                if (row < 0).any():
-                    wide: list[int] = []
-                    for i in row.tolist():
-                        wide += [i] if i >= 0 else [self.byte[x] for x in chars[-1 - i].encode("utf-8", "surrogatepass")]
-                    row = np.array(wide)
-                out.append(row.astype("<i4").tobytes())
-            return out
+        bounds = np.searchsorted(part, np.arange(len(parts) + 1)).tolist()
         flat = symbol.astype("<i4").tobytes()
-        return [flat[4 * a:4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        out = [flat[4 * a:4 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for k in np.unique(part[symbol < 0]).tolist():
+            out[k] = self.coded(symbol[bounds[k]:bounds[k + 1]].tolist())
+        owner = np.concatenate([*taken_part, np.zeros(0, np.int64)])
+        path = np.concatenate([*taken, np.zeros(0, np.uint64)])[np.argsort(owner, kind="stable")]
+        return out, path, np.bincount(owner, minlength=len(parts))
+
+    def merge_long(self, part: str, draw: int, limit: int) -> bytes:
+        """Piece ids of one part by a heap of candidate merges; draw: key of this occurrence."""
+        if not self.pair:
+            self.pair.update(zip(self.key.tolist(), self.made.tolist(), strict=True))
+        symbol = self.symbols(part).tolist()
+        n = len(symbol)
+        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
+
+        def candidates(places: list[int]) -> list[tuple]:
+            rows = [(i, symbol[i] << 32 | symbol[after[i]]) for i in places if i >= 0 and after[i] < n and symbol[i] >= 0 and symbol[after[i]] >= 0]
+            rows = [(i, key, made) for i, key in rows if (made := self.pair.get(key)) is not None]
+            if rows and limit:
+                code = merge_codes(np.array([key for _, key, _ in rows], np.int64), np.array([i for i, _, _ in rows]))
+                kept = mix(code ^ np.uint64(draw)) >= np.uint64(limit)
+                rows = [r for r, k in zip(rows, kept.tolist(), strict=True) if k]
+            return [(int(self.rank[made]), i, key, made) for i, key, made in rows]
+
+        heap = candidates(list(range(n)))
+        heapq.heapify(heap)
+        while heap:
+            _, i, key, made = heapq.heappop(heap)
+            j = after[i]
+            if symbol[i] < 0 or j >= n or symbol[i] << 32 | symbol[j] != key or before[j] != i:
+                continue
+            symbol[i], symbol[j], after[i] = made, _GONE, after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for row in candidates([before[i], i]):
+                heapq.heappush(heap, row)
+        return self.coded([x for x in symbol if x != _GONE])
 
     def literal(self) -> bytes:
         return np.array([self.byte[b] for b in _SPACE.encode()], "<i4").tobytes()
@@ -148,49 +196,86 @@ class Pieces:
 
 
 class Encoder:
-    """Encodes texts; remembers the pieces of parts it has met, by variant."""
-
-    def __init__(self, path: str, rate: float = RATE, seed: int = SEED):
-        self.model, self.rate, self.seed, self.known = Pieces(path), rate, seed, {}
-
-    def encode(self, texts: list[str | None], variants: list[int]) -> list[bytes | None]:
-        split: list[list[str] | None] = []
+    """Encodes texts; remembers the agendas it has met."""
+
+    def __init__(self, path: str, rate: float = RATE, seed: int = SEED, long: int = LONG):
+        self.model, self.seed, self.long, self.limit = Pieces(path), seed, long, int(rate * 2**53) << 11
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {_LITERAL: 0}  # agenda of a part without skips
+        self.part, self.skipped, self.out = [_LITERAL], [()], [self.model.literal()]
+        self.start, self.size = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.code, self.next = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # merges taken, agenda if one is skipped
+
+    def add(self, parts: list[str], skipped: list[tuple[int, ...]]) -> None:
+        for k in range(0, len(parts), 50_000):
+            out, path, size = self.model.merge_all(parts[k:k + 50_000], skipped[k:k + 50_000])
+            self.start = np.concatenate([self.start, len(self.code) + np.cumsum(size) - size])
+            self.size, self.code = np.concatenate([self.size, size]), np.concatenate([self.code, path])
+            self.next = np.concatenate([self.next, np.full(len(path), -1)])
+            self.out += out
+        self.part += parts
+        self.skipped += skipped
+
+    def walk(self, agenda: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The agenda that each occurrence ends with: its draws skip none of the merges taken there."""
+        agenda, at = agenda.copy(), np.flatnonzero(agenda >= 0)
+        while len(at):
+            n = self.size[agenda[at]]
+            owner = np.repeat(np.arange(len(at)), n)
+            step = np.arange(len(owner)) + (self.start[agenda[at]] - np.cumsum(n) + n)[owner]
+            hit = np.flatnonzero(mix(self.code[step] ^ key[at][owner]) < np.uint64(self.limit))
+            hit = hit[np.append(True, owner[hit][1:] != owner[hit][:-1])] if len(hit) else hit
+            at, step = at[owner[hit]], step[hit]
+            new = np.unique(step[self.next[step] < 0])
+            if len(new):
+                of = np.searchsorted(self.start, new, "right") - 1
+                self.next[new] = np.arange(len(new)) + len(self.out)
+                self.add([self.part[i] for i in of.tolist()], [(*self.skipped[i], c) for i, c in zip(of.tolist(), self.code[new].tolist(), strict=True)])
+            agenda[at] = self.next[step]
+        return agenda
+
+    def encode(self, texts: list[str | None], ids: list[int | None]) -> list[bytes | None]:
+        split: list[list[str]] = []
         for t in texts:
             if not t:
-                split.append([] if t == "" else None)
-                continue
-            if _SPACE in t:  # a literal sign is set apart: nothing merges with it
+                split.append([])
+            elif _SPACE in t:  # a literal sign is set apart: nothing merges with it
                 row: list[str] = []
                 for k, piece in enumerate((" " + t).split(_SPACE)):
                     row += [_LITERAL] * (k > 0) + _PART.findall(piece.replace(" ", _SPACE))
                 split.append(row)
             else:
                 split.append(_PART.findall(_SPACE + t.replace(" ", _SPACE)))
-        if sum(map(len, self.known.values())) > REMEMBERED:
-            self.known = {}
-        for v in set(variants):
-            known = self.known.setdefault(v, {_LITERAL: self.model.literal()})
-            new = list({w for row, x in zip(split, variants, strict=True) if x == v and row for w in row if w not in known})
-            for k in range(0, len(new), 50_000):
-                known.update(zip(new[k:k + 50_000], self.model.merge_all(new[k:k + 50_000], self.rate, self.seed, v), strict=True))
-        return [None if row is None else b"".join(map(self.known[v].__getitem__, row)) for row, v in zip(split, variants, strict=True)]
-
-
-def _variants(ids: list, n: int) -> list[int]:
-    return [(0 if i is None else (i * 0x9E3779B97F4A7C15 >> 29) % n) for i in ids]
-
-
-def encode_documents(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+        if len(self.out) > REMEMBERED:
+            self.forget()
+        flat = [w for row in split for w in row]
+        new = [w for w in set(flat) if w not in self.number and len(w) <= self.long]
+        self.number.update(zip(new, range(len(self.out), len(self.out) + len(new)), strict=True))
+        self.add(new, [()] * len(new))
+        agenda = np.fromiter((self.number.get(w, -1) for w in flat), np.int64, len(flat))
+        size = np.array([len(row) for row in split], np.int64)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        key = occurrence_keys(np.repeat(np.array([i or 0 for i in ids], np.int64), size), place, self.seed)
+        if self.limit:
+            agenda = self.walk(agenda, key)
+        coded = [self.out[a] if a >= 0 else self.model.merge_long(w, k, self.limit)
+                 for a, w, k in zip(agenda.tolist(), flat, key.tolist(), strict=True)] if (agenda < 0).any() else list(map(self.out.__getitem__, agenda.tolist()))
+        ends = np.cumsum(size).tolist()
+        return [None if t is None else b"".join(coded[b - n:b]) for t, n, b in zip(texts, size.tolist(), ends, strict=True)]
+
+
+def encode_documents(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """docs' columns and `pieces`: array of ids. A map without shuffle; path: a SentencePiece BPE model."""
-    names, at, id_at = docs.columns, docs.columns.index("text"), docs.columns.index("doc_id")
-    names = [c for c in names if c != "pieces"]
+    names = [c for c in docs.columns if c != "pieces"]
     docs = docs.select(*names)
     at, id_at = names.index("text"), names.index("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, rate, seed)
         for batch in slices(batches, at, 2 << 20):
-            coded = encoder.encode(batch.column(at).to_pylist(), _variants(batch.column(id_at).to_pylist(), variants))
+            coded = encoder.encode(batch.column(at).to_pylist(), batch.column(id_at).to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(c or b"") // 4 for c in coded])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(c or b"" for c in coded), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([c is None for c in coded]))
@@ -210,7 +295,7 @@ def decode_documents(coded: DataFrame, path: str) -> DataFrame:
     return coded.select("doc_id", "pieces").mapInArrow(run, "doc_id long, text string")
 
 
-def encoded_digests(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encoded_digests(docs: DataFrame, path: str, rate: float = RATE, seed: int = SEED) -> DataFrame:
     """(doc_id, n_pieces, n_distinct, pieces_sha256, lossless): digests of what encode and decode give. A map without shuffle."""
     import hashlib
 
@@ -219,7 +304,7 @@ def encoded_digests(docs: DataFrame, path: str, rate: float = RATE, seed: int =
         for batch in slices(batches, 1, 2 << 20):
             texts = batch.column(1).to_pylist()
             rows = []
-            for t, c in zip(texts, encoder.encode(texts, _variants(batch.column(0).to_pylist(), variants)), strict=True):
+            for t, c in zip(texts, encoder.encode(texts, batch.column(0).to_pylist()), strict=True):
                 ids = np.frombuffer(c or b"", "<i4")
                 rows.append((len(ids), len(np.unique(ids)), hashlib.sha256(c or b"").hexdigest(), encoder.model.decode(ids) == (t or "")))
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(

@@ -72,6 +72,12 @@ def test_jaccard(spark, odd):
     assert comp[1, 0] == 1 and comp[2, 0] == 2 and comp[7, 1] == 6
     assert {c for (i, _), c in comp.items() if i in (3, 4)} == {3}
     assert jaccard.similar_components(empty(spark)).count() == 0
+    # an id that repeats with different texts: each text keeps its own links
+    near, far = rows[0][1], rows[20][1]
+    again = [(1, near, "en"), (1, far, "en"), (1, far, "en"), (3, far + " tail", "en"), (2, near + " tail", "en"), (None, far, "en"), (7, "alone here", "en")]
+    found = jaccard.similar_components(table(spark, again)).collect()
+    assert sorted(((r.doc_id or -1, r.component_id) for r in found)) == [(-1, 1), (1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (7, 7)]
+    assert sorted(r.doc_id or -1 for r in jaccard.one_of_each(table(spark, again)).collect()) == [-1, 1, 1, 1, 7]
 
 
 def test_shingle_sets():
@@ -141,13 +147,27 @@ def test_suffix_large_group(spark, monkeypatch):
 def test_fingerprint(spark, odd):
     rows = [(i, t, lang) for i, t, lang in odd[0] if i is not None and i not in (4, 5)]
     rows.append((50, "\n".join(f"line {i}" for i in range(2000)), "en"))
+    rows.append((51, " ".join(f"Sentence {i * 37 % 911} is the one in question number {i}, that even." for i in range(300)), "en"))
+    rows.append((52, "q0" * 3000 + "z" + "7x" * 900, "en"))
+    longest = {51, 52}
+
+    def cells(text):
+        out = set()
+        for line in text.split("\n"):
+            for piece in re.split(fingerprint.SENTENCE_END, line, flags=re.ASCII) if len(line) > fingerprint.LINE else [line]:
+                for part in re.split(fingerprint.WORD_END, piece, flags=re.ASCII) if len(piece) > fingerprint.PIECE else [piece]:
+                    size = fingerprint.BLOCK if len(part) > fingerprint.PIECE else max(1, len(part))
+                    out |= {part[k:k + size] for k in range(0, len(part), size)}
+        return out - {""}
+
     got = {r.doc_id: r for r in fingerprint.fingerprints(table(spark, rows)).collect()}
     texts = [(i, t or "") for i, t, _ in sorted(rows)]
     for k, (i, t) in enumerate(texts):
         after = texts[(k + 1) % len(texts)][1]
         q = len(t) // 4
         edited = t[:len(t) - q] + after[:q]
-        a, b, c = ({x for x in s.split("\n") if x} for s in (t, edited, after))
+        a, b, c = map(cells, (t, edited, after))
+        assert i not in longest or len(a & b) / len(a | b) > 0.1
         assert got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert got[i].near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
         assert got[i].near_next == pytest.approx(len(a & c) / len(a | c) if a | c else 1.0)
@@ -171,6 +191,8 @@ def test_language(spark, odd):
     total = language.backed(tables, context | tables[0].key, symbols).sum()
     assert 0.9 < total <= 1 + 1e-9  # of known symbols; the rest is left for unknown ones
     assert language.predict_languages(odd[1], language.fit_languages(odd[1])).count() == len(odd[0])
+    far = language.predict_languages(table(spark, [(1, chr(0xF0000) * 5, None), (2, chr(0x10FFFF), None), (3, chr(0x30001), None)]), model).collect()
+    assert [r.lang_pred == "und" for r in far] == [True, True, False]
     none = language.fit_languages(empty(spark))
     assert {r.lang_pred for r in language.predict_languages(odd[1], none).collect()} == {"und"}
 
@@ -245,9 +267,68 @@ def test_pieces(spark, odd):
     assert collections.Counter(map(tuple, back.collect())) == collections.Counter((i, t) for i, t, _ in odd[0])
     dropped = pieces.Encoder(path, 0.3)
     assert dropped.encode(texts[-1:], [0]) != dropped.encode(texts[-1:], [1])
+    words = dropped.encode(["straightforwardness " * 40], [3])[0]
+    assert len(pieces._PART.findall("▁straightforwardness " * 40)) == 40 and words[:len(words) // 2] != words[len(words) // 2:]  # a word varies within a text
     assert pieces.encode_documents(empty(spark), path).count() == 0
 
 
+def test_dropout_against_plain_agenda():
+    """Shared agendas and the heap of long parts give what a plain scan for the best unskipped merge gives."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    random.seed(4)
+    words = ["the", "of", "hello", "antidisestablishment", "日本語", "é😀\ue000", "x" * 60, "abcdefghij" * 6, "straightforwardness"]
+    texts = [" ".join(random.choice(words) for _ in range(50)) for _ in range(4)]
+    model = pieces.Pieces(path)
+    pair = dict(zip(model.key.tolist(), model.made.tolist(), strict=True))
+
+    def plain(part, key, limit):
+        row = [(x, i) for i, x in enumerate(model.symbols(part).tolist())]
+        while True:
+            found = []
+            for k in range(len(row) - 1):
+                (a, i), (b, _) = row[k], row[k + 1]
+                if a >= 0 and b >= 0 and (made := pair.get(a << 32 | b)) is not None:
+                    draw = int(pieces.mix(pieces.merge_codes(np.array([a << 32 | b]), np.array([i])) ^ np.uint64(key))[0])
+                    if draw >= limit:
+                        found.append((int(model.rank[made]), k, made))
+            if not found:
+                return model.coded([x for x, _ in row])
+            _, k, made = min(found)
+            row[k:k + 2] = [(made, row[k][1])]
+
+    for rate in (0.0, 0.1, 0.5):
+        for longest in (0, 40, 1000):
+            encoder = pieces.Encoder(path, rate, seed=9, long=longest)
+            for i, (t, got) in enumerate(zip(texts, encoder.encode(texts, [7, 8, None, 9]), strict=True)):
+                parts = pieces._PART.findall("▁" + t.replace(" ", "▁"))
+                keys = pieces.occurrence_keys(np.full(len(parts), [7, 8, 0, 9][i]), np.arange(len(parts)), 9)
+                assert got == b"".join(plain(w, int(k), encoder.limit) for w, k in zip(parts, keys, strict=True))
+                assert model.decode(np.frombuffer(got, "<i4")) == t
+
+
+def test_toxic_windows():
+    """A window's gain is the difference of its two compressed lengths; evidence is that of all windows of the whole text."""
+    import zstandard
+
+    model = toxicity.ToxicityModel(b" grumblefoot  snotface ", b" the  cat  sat  on ", threshold=3, weights=(0.0,) * 5)
+    text = "The cat " * 300 + "SNOTFACE sat on grumblefoot grumblefoot " + "z" * 100
+
+    def size(raw, window):
+        ends = bytes(range(128, 192)), bytes(range(200, 216))
+        raw = raw + ends[0] + ends[1]
+        known = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        settings = zstandard.ZstdCompressionParameters.from_level(
+            9, dict_size=len(raw), source_size=128, format=zstandard.FORMAT_ZSTD1_MAGICLESS, min_match=3, strategy=zstandard.STRATEGY_LAZY2,
+            window_log=18, hash_log=16, chain_log=16, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(zstandard.ZstdCompressor(dict_data=known, compression_params=settings).compress(ends[0] + b" " + window + b" " + ends[1]))
+
+    every = toxicity.windows(text)
+    gains = [size(model.ordinary, w) - size(model.toxic, w) for w in every]
+    assert len(every) == 600 + 5 + 3 and [model.gain(w) for w in every] == gains
+    most, over, n = model.evidence([text], {})[0]
+    assert (most, over) == (max(gains), sum(g >= 3 for g in gains)) and over >= 3 and n == pytest.approx(np.log1p(len(every)))
+
+
 def test_pii(spark, odd):
     text = "x@y.zz a.b@c.d@e.f 1.2.3.4 999.1.1.1, 4111 1111 1111 1111 +1 (456) 555-2186, é +12 "
     spans = pii.base_spans(text)

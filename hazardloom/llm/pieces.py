@@ -32,7 +32,7 @@ from hazardloom.llm.jaccard import mix
 
 RATE, SEED, LONG = 0.1, 17, 40
 #: Agendas that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 _SPACE, _LITERAL = "▁", ""
 _PART = re.compile("▁*[^▁]+|▁+")
 
@@ -76,14 +76,15 @@ class Pieces:
         self.bytes = [t.replace(_SPACE, " ").encode() for t in self.text]
         for b, i in enumerate(self.byte):
             self.bytes[i] = bytes([b])
-        # a slot table answers most lookups of pairs that do not merge without a search
+        # a slot table answers most lookups without a search: -1 no pair, len(key) several pairs
         self.pair: dict[int, int] = {}
         self.of_char = -1 - np.arange(0x110000)
         for t, i in plain.items():
             if len(t) == 1:
                 self.of_char[ord(t)] = i
-        self.known = np.zeros(1 << 20, bool)
-        self.known[self._slot(self.key)] = True
+        slot = self._slot(self.key)
+        self.index = np.full(1 << 20, -1, np.int32)
+        self.index[slot] = np.where(np.bincount(slot, minlength=1 << 20)[slot] > 1, len(self.key), np.arange(len(self.key)))
 
     @staticmethod
     def _slot(key: np.ndarray) -> np.ndarray:
@@ -113,16 +114,16 @@ class Pieces:
         while len(symbol):
             left, right = symbol[:-1], symbol[1:]
             key = (left << 32) | (right & 0xFFFFFFFF)
-            ok = np.flatnonzero((part[:-1] == part[1:]) & (left >= 0) & (right >= 0) & self.known[self._slot(key)])
-            found = np.searchsorted(self.key, key[ok])
-            hit = found < len(self.key)
-            ok, found = ok[hit], found[hit]
+            found = self.index[self._slot(key)]
+            ok = np.flatnonzero((found >= 0) & (part[:-1] == part[1:]) & (left >= 0) & (right >= 0))
+            found = found[ok]
+            shared = np.flatnonzero(found == len(self.key))  # several pairs in a slot
+            found[shared] = np.minimum(np.searchsorted(self.key, key[ok[shared]]), len(self.key) - 1)
             hit = self.key[found] == key[ok]
             ok, found = ok[hit], found[hit]
-            code = merge_codes(key[ok], place[ok])
             if banned.shape[1]:
-                keep = ~(banned[part[ok]] == code[:, None]).any(1)
-                ok, found, code = ok[keep], found[keep], code[keep]
+                keep = ~(banned[part[ok]] == merge_codes(key[ok], place[ok])[:, None]).any(1)
+                ok, found = ok[keep], found[keep]
             if not len(ok):
                 break
             made = self.made[found]
@@ -131,7 +132,7 @@ class Pieces:
             first = np.flatnonzero(np.concatenate([[True], part[ok][1:] != part[ok][:-1]]))
             best = (np.minimum.reduceat(order, first) & 0xFFFFFFFF).astype(np.int64)
             at = ok[best]
-            taken.append(code[best]), taken_part.append(part[at])
+            taken.append(merge_codes(key[at], place[at])), taken_part.append(part[at])
             symbol = symbol.copy()
             symbol[at] = made[best]
             stay = np.ones(len(symbol), bool)
@@ -251,17 +252,20 @@ class Encoder:
         if len(self.out) > REMEMBERED:
             self.forget()
         flat = [w for row in split for w in row]
-        new = [w for w in set(flat) if w not in self.number and len(w) <= self.long]
+        every = set(flat)
+        new = [w for w in every if w not in self.number and len(w) <= self.long]
         self.number.update(zip(new, range(len(self.out), len(self.out) + len(new)), strict=True))
         self.add(new, [()] * len(new))
-        agenda = np.fromiter((self.number.get(w, -1) for w in flat), np.int64, len(flat))
+        known = self.number if max(map(len, every), default=0) <= self.long else {w: self.number.get(w, -1) for w in every}
+        agenda = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
         size = np.array([len(row) for row in split], np.int64)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
         key = occurrence_keys(np.repeat(np.array([i or 0 for i in ids], np.int64), size), place, self.seed)
         if self.limit:
             agenda = self.walk(agenda, key)
-        coded = [self.out[a] if a >= 0 else self.model.merge_long(w, k, self.limit)
-                 for a, w, k in zip(agenda.tolist(), flat, key.tolist(), strict=True)] if (agenda < 0).any() else list(map(self.out.__getitem__, agenda.tolist()))
+        coded = list(map(self.out.__getitem__, agenda.tolist()))
+        for i in np.flatnonzero(agenda < 0).tolist():
+            coded[i] = self.model.merge_long(flat[i], int(key[i]), self.limit)
         ends = np.cumsum(size).tolist()
         return [None if t is None else b"".join(coded[b - n:b]) for t, n, b in zip(texts, size.tolist(), ends, strict=True)]
 

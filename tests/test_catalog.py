@@ -39,3 +39,7 @@ def test_registry_is_consistent():
     assert set(CATALOG) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert all(n == "pipeline" or n.startswith("op") for n in set(entry.queries()) - set(CATALOG))
+
+
+def test_labels_on_panel_reads_all_labels():
+    assert "loan_key %" not in CATALOG["labels_on_panel"].sql

@@ -113,3 +113,15 @@ def test_panel_hpi_shortcut_equals_row_product(spark):
     a = {(r.loan_id, r.loan_age): r.hpi_cumul for r in x.collect()}
     b = {(r.loan_id, r.loan_age): r.hpi_cumul for r in panel.cumulative_hpi(x.drop("hpi_cumul")).collect()}
     assert len(a) == 11 and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_panel_is_spread_by_its_months(spark, monkeypatch):
+    macro = spark.createDataFrame([(200001, 5.0, 4.0, 1.0)], "yyyymm int, mortgage_rate double, unemployment double, hpi_yoy double")
+    surv = spark.createDataFrame(
+        [(i, 2000, 700, 80, 30, 1e5, 6.0, "P", "P", 200001, 40, False, False) for i in range(100)],
+        "loan_key int, VintageYear int, CreditScore int, OriginalLoantoValueLTV int, OriginalDebttoIncomeRatio int, OriginalUPB double, OriginalInterestRate double, LoanPurpose string, OccupancyStatus string, FirstPaymentDate int, Duration int, Prepaid boolean, CreditTerminated boolean").coalesce(1)
+    monkeypatch.setattr(panel, "PANEL_ROWS", 100)
+    x = panel.expand_panel(surv, macro, "loan_key")
+    assert x.rdd.getNumPartitions() >= 40 and x.count() == 4000
+    plan = panel.cumulative_hpi(x.drop("hpi_cumul"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") + plan.count("REPARTITION_BY_NUM") <= 2  # the loans are moved, their months are not

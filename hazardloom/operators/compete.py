@@ -165,6 +165,21 @@ def incidence_rows(panel: DataFrame, loan: str, month: str, h1: str, h2: str) ->
     }).drop("S_prev")
 
 
+def _nlls(panel: DataFrame, loan: str, month: str, hazards: Sequence[str], time: str, cause: str,
+          causes: Sequence[int]) -> DataFrame:
+    """One row with nll<k> of every cause k, all from one pass."""
+    before = F.col(month) < F.col(time)
+    at = F.col(month) == F.col(time)
+    aggs = [F.greatest(F.count_if(before), F.lit(1)).alias("__m")]
+    for h, k in zip(hazards, causes):
+        lam = F.greatest(F.least(F.col(h), F.lit(1 - EPS)), F.lit(EPS))
+        point = F.when(F.col(cause) == k, -F.log(lam)).otherwise(-F.log1p(-lam))
+        aggs += [F.coalesce(F.sum(F.when(before, -F.log1p(-lam))), F.lit(0.0)).alias(f"__s{k}"),
+                 F.max(F.when(at, point)).alias(f"__p{k}")]
+    return panel.groupBy(loan).agg(*aggs).agg(*[
+        (F.avg(F.col(f"__s{k}") / F.col("__m")) + F.avg(f"__p{k}")).alias(f"nll{k}") for k in causes])
+
+
 def cause_nll(panel: DataFrame, loan: str, month: str, hazard: str, time: str, cause: str,
               k: int) -> DataFrame:
     """Discrete cause-specific negative log-likelihood: mean over loans of the survival term
@@ -172,15 +187,23 @@ def cause_nll(panel: DataFrame, loan: str, month: str, hazard: str, time: str, c
 
     `time` is the exit month index of the loan on the same scale as `month`.
     """
-    lam = F.greatest(F.least(F.col(hazard), F.lit(1 - EPS)), F.lit(EPS))
-    before = F.col(month) < F.col(time)
-    at = F.col(month) == F.col(time)
-    point = F.when(F.col(cause) == k, -F.log(lam)).otherwise(-F.log1p(-lam))
-    per = panel.groupBy(loan).agg(
-        F.coalesce(F.sum(F.when(before, -F.log1p(-lam))), F.lit(0.0)).alias("__s"),
-        F.greatest(F.count_if(before), F.lit(1)).alias("__m"),
-        F.max(F.when(at, point)).alias("__p"))
-    return per.agg((F.avg(F.col("__s") / F.col("__m")) + F.avg("__p")).alias("nll"))
+    return _nlls(panel, loan, month, [hazard], time, cause, [k]).select(F.col(f"nll{k}").alias("nll"))
+
+
+def _rankings(panel: DataFrame, month: str, cifs: Sequence[str], time: str, cause: str,
+              causes: Sequence[int], sigma: float) -> DataFrame:
+    """One row with rank<k> of every cause k, all from one total per month and cause."""
+    later, now = F.col(time) > F.col(month), F.col(time) == F.col(month)
+    cells, out = [], []
+    for c, k in zip(cifs, causes):
+        e, of = F.exp(F.col(c) / F.lit(sigma)), F.col(cause) == k
+        cells += [F.sum(F.when(of & later, e)).alias(f"__g{k}"), F.count_if(of & later).alias(f"__m{k}"),
+                  F.sum(F.when(of & now, F.lit(1.0) / e)).alias(f"__own{k}"), F.count_if(of & now).alias(f"__n{k}")]
+        valid = F.col(f"__m{k}") > 0
+        out.append(F.coalesce(F.try_divide(
+            F.sum(F.when(valid, F.col(f"__own{k}") * F.col(f"__g{k}") / F.col(f"__m{k}"))),
+            F.sum(F.when(valid, F.col(f"__n{k}")))), F.lit(0.0)).alias(f"rank{k}"))
+    return panel.where(F.col(cause).isin(*causes)).groupBy(month).agg(*cells).agg(*out)
 
 
 def ranking_loss(panel: DataFrame, loan: str, month: str, cif: str, time: str, cause: str,
@@ -191,27 +214,14 @@ def ranking_loss(panel: DataFrame, loan: str, month: str, cif: str, time: str, c
     all partners of a loan is one total per month. The result is the loss over all pairs, no
     pair is formed and none is left out.
     """
-    x = panel.where(F.col(cause) == k)
-    e = F.exp(F.col(cif) / F.lit(sigma))
-    months = x.groupBy(month).agg(
-        F.sum(F.when(F.col(time) > F.col(month), e)).alias("__g"),
-        F.count_if(F.col(time) > F.col(month)).alias("__m"),
-        F.sum(F.when(F.col(time) == F.col(month), F.lit(1.0) / e)).alias("__own"),
-        F.count_if(F.col(time) == F.col(month)).alias("__n"))
-    valid = F.col("__m") > 0
-    return months.agg(F.coalesce(F.try_divide(
-        F.sum(F.when(valid, F.col("__own") * F.col("__g") / F.col("__m"))),
-        F.sum(F.when(valid, F.col("__n")))), F.lit(0.0)).alias("ranking_loss"))
+    return _rankings(panel, month, [cif], time, cause, [k], sigma).select(F.col(f"rank{k}").alias("ranking_loss"))
 
 
 def total_loss(panel: DataFrame, loan: str, month: str, time: str, cause: str,
                hazards=("h1", "h2"), cifs=("cif1", "cif2"), alpha: float = K.RANKING_WEIGHT) -> DataFrame:
-    """NLL of both causes plus α times the ranking losses, one row."""
-    one = None
-    for k, (h, c) in enumerate(zip(hazards, cifs), start=1):
-        nll = cause_nll(panel, loan, month, h, time, cause, k).select(F.col("nll").alias(f"nll{k}"))
-        rank = ranking_loss(panel, loan, month, c, time, cause, k).select(
-            F.col("ranking_loss").alias(f"rank{k}"))
-        one = nll.crossJoin(rank) if one is None else one.crossJoin(nll).crossJoin(rank)  # one row each
-    return one.withColumn("total_loss", F.col("nll1") + F.col("nll2")
-                          + F.lit(alpha) * (F.col("rank1") + F.col("rank2")))
+    """NLL of both causes plus α times the ranking losses, one row: one pass by loan, one by month."""
+    causes = range(1, len(hazards) + 1)
+    one = _nlls(panel, loan, month, hazards, time, cause, causes).crossJoin(
+        _rankings(panel, month, cifs, time, cause, causes, K.RANKING_SIGMA))  # one row each
+    return one.select("nll1", "rank1", "nll2", "rank2").withColumn(
+        "total_loss", F.col("nll1") + F.col("nll2") + F.lit(alpha) * (F.col("rank1") + F.col("rank2")))

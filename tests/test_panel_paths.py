@@ -92,3 +92,19 @@ def test_sensitivity_against_bumped_features(spark):
             own = [c for (_, a), c in change.items() if a == age]
             assert got[age, name] == (len(own), pytest.approx(sum(own) / len(own), rel=1e-6))
         assert got[None, name] == (len(x), pytest.approx(sum(change.values()) / len(x), rel=1e-6))
+
+
+def test_total_loss_is_its_parts(spark):
+    random.seed(8)
+    rows = []
+    for loan in range(40):
+        x, k, f1, f2 = random.randint(0, 7), random.randint(0, 2), 0.0, 0.0
+        for m in range(x + 1):
+            f1, f2 = f1 + random.random() / 20, f2 + random.random() / 20
+            rows.append((loan, m, random.random() / 5, random.random() / 5, f1, f2, x, k))
+    df = spark.createDataFrame(rows, "loan int, m int, h1 double, h2 double, cif1 double, cif2 double, x int, k int")
+    got = compete.total_loss(df, "loan", "m", "x", "k").collect()[0]
+    for k in (1, 2):
+        assert got[f"nll{k}"] == pytest.approx(compete.cause_nll(df, "loan", "m", f"h{k}", "x", "k", k).collect()[0][0])
+        assert got[f"rank{k}"] == pytest.approx(compete.ranking_loss(df, "loan", "m", f"cif{k}", "x", "k", k).collect()[0][0])
+    assert got.total_loss == pytest.approx(got.nll1 + got.nll2 + 0.2 * (got.rank1 + got.rank2))

@@ -1,9 +1,14 @@
 """Ranks, running totals and quantiles, with one group holding most rows."""
 
+import math
+import random
+import statistics
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from hazardloom.operators import lookup, ordered, split
+from hazardloom.operators import encode, lookup, ordered, split
 
 
 def skewed(spark, n=3000):
@@ -58,3 +63,20 @@ def test_splits_have_exact_sizes(spark):
     assert {r["g"]: r["n"] for r in quota.groupBy("g").agg(F.count("*").alias("n")).collect()} == {"hot": 10, "cold": 600}
     prop = split.proportional_sample(df, ["g"], 100, key="id")
     assert prop.count() == 100
+
+
+def test_selected_is_the_exact_median(spark, monkeypatch):
+    random.seed(6)
+    monkeypatch.setattr(ordered, "DISTINCT", 5)
+    monkeypatch.setattr(ordered, "BINS", 8)
+    rows = [(random.random() ** 9 * 10 ** random.randint(-9, 9), float(random.randint(0, 4)) if i % 3 else None, -0.0, None) for i in range(401)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    want = {k: statistics.median([r[i] for r in rows if r[i] is not None] or [math.nan]) for i, k in enumerate("abc")}
+    assert ordered.selected(df, list("abcd")) == {**want, "d": None}
+    assert ordered.selected(df.limit(400), ["a"]) == {"a": pytest.approx(statistics.median(r.a for r in df.limit(400).collect()), rel=1e-15)}
+    assert ordered.selected(spark.createDataFrame([(1.0,), (math.nan,)], "a double"), ["a"]) is None
+
+
+def test_medians_of_fitting_rows_move_no_rows(spark):
+    df = spark.createDataFrame([(1.0,), (4.0,), (None,), (2.0,)], "a double")
+    assert sorted(r.a for r in encode.fill_medians(df, ["a"]).collect()) == [1.0, 2.0, 2.0, 4.0]

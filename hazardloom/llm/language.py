@@ -5,7 +5,7 @@ are counted over all training texts, by language; lower orders follow from the n
 continue (Kneser-Ney), with absolute discounting and interpolation down to a uniform distribution. Each order of a
 language is one sorted array of hashes with its values, looked up by binary search; the distinct sequences of a
 slice of texts are scored once. The language with the lowest cross-entropy per character wins. A text whose lowest
-cross-entropy exceeds a limit, set to the 99.9 % quantile over a training sample, is marked as rejected and its
+cross-entropy exceeds a limit, set to the 99.9 % quantile over all training texts, is marked as rejected and its
 score halved, but keeps the best language.
 
 Model size: a character is one of 64 symbols (blank, a to z, and 37 for all other letters by code point, so that
@@ -24,11 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardloom.llm.common import slices
+from hazardloom.llm.common import Scratch, slices
+from hazardloom.operators.ordered import selected
 
 ORDER, SHARPNESS = 4, 12.0
-#: Texts of each language whose cross-entropies set the rejection limit.
-CALIBRATION = 300
 _TOP, _BITS = 0x110000, 6
 
 
@@ -146,10 +145,11 @@ class LanguageModel:
         return out, has
 
 
-def fit_languages(docs: DataFrame, keep=lambda doc_id: F.lit(True), calibration: int = CALIBRATION) -> LanguageModel:
+def fit_languages(docs: DataFrame, keep=lambda doc_id: F.lit(True)) -> LanguageModel:
     """Counts over all texts with a language for which keep(doc_id) holds; summed by task, then by sequence.
 
-    What reaches the driver is at most 2^24 counts a language, and `calibration` entropies a language.
+    What reaches the driver is at most 2^24 counts a language; the rejection limit is an exact quantile of the
+    entropies of all these texts, found by counting.
     """
     train = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & keep(F.col("doc_id")))
 
@@ -186,10 +186,11 @@ def fit_languages(docs: DataFrame, keep=lambda doc_id: F.lit(True), calibration:
         tables.append(kneser_ney(gram[own], n[own]))
     model = LanguageModel(names, tables)
     if names:
-        place = F.xxhash64(F.lit("limit"), "doc_id")
-        last = train.select(place.alias("h")).orderBy("h").limit(calibration * len(names)).agg(F.max("h")).first()[0]
-        lowest = predict_languages(train.where(place <= last), model).where("lang_pred <> 'und'").select("entropy").toArrow()
-        model.limit = float(np.quantile(lowest.column(0).to_numpy(), 0.999)) if lowest.num_rows else np.inf
+        scratch = Scratch(docs.sparkSession, "language")
+        lowest = scratch.save(predict_languages(train, model).where("lang_pred <> 'und'").select("entropy"))
+        limit = selected(lowest, ["entropy"], 0.999)["entropy"]
+        model.limit = np.inf if limit is None else limit
+        scratch.drop(lowest)
     return model
 
 

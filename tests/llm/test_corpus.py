@@ -177,6 +177,15 @@ def test_language(spark, odd):
     total = language.backed(tables, context | tables[0].key, symbols).sum()
     assert 0.9 < total <= 1 + 1e-9  # of known symbols; the rest is left for unknown ones
     assert language.predict_languages(odd[1], language.fit_languages(odd[1])).count() == len(odd[0])
+
+
+def test_language_limit_is_of_all_training_texts(spark):
+    # the odd text is one in 900 and stands apart: a limit from some hundred texts would miss it
+    rows = [(k, f"the hat and the cat {'abcdefghij'[k % 10]} sat {k}", "en") for k in range(899)] + [(899, "qxz", "en")]
+    docs = table(spark, rows)
+    model = language.fit_languages(docs)
+    entropy = [r.entropy for r in language.predict_languages(docs, model).collect()]
+    assert model.limit == pytest.approx(np.quantile(entropy, 0.999), rel=1e-12)
     far = language.predict_languages(table(spark, [(1, chr(0xF0000) * 5, None), (2, chr(0x10FFFF), None), (3, chr(0x30001), None)]), model).collect()
     assert [r.lang_pred == "und" for r in far] == [True, True, False]
     none = language.fit_languages(empty(spark))

@@ -377,8 +377,8 @@ def _(v):
 
 
 def _split_table(v):
-    x = split.vintage_split(v.surv, V.TRAIN_END, V.TEST_START, V.TEST_END)
-    return tables.split_table({s: x.where(F.col("split") == s) for s in ("train", "test")}, key=ID)
+    x = split.vintage_split(v.spread_surv, V.TRAIN_END, V.TEST_START, V.TEST_END)
+    return tables.split_table(x, key=ID)
 
 
 @query("canonical_split", f"select loan_key, case when VintageYear <= 1998 then 'train' else 'test' end as split, VintageYear, {_H} as ord from surv", ("surv",))

@@ -111,13 +111,19 @@ def write_summary(df: DataFrame, path: str) -> None:
 
 
 # --- canonical split -------------------------------------------------------------------
-def split_table(blocks: dict[str, DataFrame], key: str = "LoanSequenceNumber",
+def split_table(blocks: dict[str, DataFrame] | DataFrame, key: str = "LoanSequenceNumber",
                 year: str = "VintageYear") -> DataFrame:
     """(key, split, year) rows of the train/val/test blocks, with the order they carry.
 
+    `blocks` is one frame per split, or one frame with a column `split`, which is read once.
     `ord` is a stable rank key (the loan key hash), kept so that readers can restore one
     canonical order without relying on file order.
     """
+    if isinstance(blocks, DataFrame):
+        missing = {key, year, "split"} - set(blocks.columns)
+        if missing:
+            raise KeyError(f"the rows lack {sorted(missing)}")
+        return blocks.where(F.col("split").isin(list(SPLITS))).select(key, "split", year, C.hash60(key, K.SEED).alias("ord"))
     parts = []
     for name, df in blocks.items():
         if name not in SPLITS:

@@ -125,3 +125,13 @@ def test_panel_is_spread_by_its_months(spark, monkeypatch):
     assert x.rdd.getNumPartitions() >= 40 and x.count() == 4000
     plan = panel.cumulative_hpi(x.drop("hpi_cumul"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") + plan.count("REPARTITION_BY_NUM") <= 2  # the loans are moved, their months are not
+
+
+def test_split_table_of_tagged_rows(spark):
+    df = spark.createDataFrame([("a", 1998, "train"), ("b", 2001, "test"), ("b", 2001, "test"), (None, 1999, "val"), ("c", 2009, None)],
+                               "LoanSequenceNumber string, VintageYear int, split string")
+    apart = tables.split_table({s: df.where(F.col("split") == s) for s in tables.SPLITS})
+    once = tables.split_table(df)
+    assert once.columns == apart.columns and sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+    with pytest.raises(KeyError):
+        tables.split_table(df.drop("split"))

@@ -106,3 +106,30 @@ def test_nothing_to_learn_from(spark):
     model = pii.fit_pii(docs)
     assert model.limits == {} and [r.n_added for r in pii.find_pii(docs, model).collect()] == [0, 0]
     assert pii.redacted(docs, model).collect() == docs.collect()
+
+
+def test_fit_uses_every_example_in_any_layout(spark):
+    docs = spark.createDataFrame([(k, learnt(k), None, 1) for k in range(40)], SCHEMA)
+    one = pii.fit_pii(docs)
+    with pytest.MonkeyPatch.context() as patch:  # few rounds: each is two passes
+        patch.setattr(pii.boost, "__defaults__", (1, 3, pii.RATE))
+        few, many = pii.fit_pii(docs), pii.fit_pii(docs.repartition(5), block=100)
+    assert many == few and few.nodes == one.nodes[:3]
+    every = {(y, tuple(x)) for k in range(40) for y, x in pii.examples(learnt(k))}
+    x, y = np.array([x for _, x in every]), np.array([y for y, _ in every])
+    key = [int.from_bytes(hashlib.blake2b(bytes([b]) + a.tobytes(), digest_size=7).digest(), "big") for a, b in zip(x, y.tolist())]
+    seen = np.array([k // 7 % 4 != 0 for k in key])
+    assert np.isclose(one.prior, np.log(y[seen].mean() / (1 - y[seen].mean())))
+    margin, kinds = one.margin(x), x[:, 0]
+    for kind, limit in one.limits.items():
+        judged = (kinds == kind) & (~seen if ((kinds == kind) & ~seen & (y == 1)).sum() >= pii.FEW else True)
+        assert np.isclose(limit, pii.threshold(margin[judged], y[judged].astype(float)))
+    assert set(one.limits) == set(range(4))
+
+
+def test_cut_points_are_lower_quantiles():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 32, 33, 400):
+        v = rng.integers(0, 60, size).astype(float)
+        found = dict(zip(*(a.tolist() for a in np.unique(v, return_counts=True))))
+        assert pii.cut_points(found).tolist() == np.unique(np.quantile(v, np.linspace(0, 1, 33)[:-1], method="lower")).tolist()

@@ -31,8 +31,8 @@ from hazardloom.llm.common import slices
 from hazardloom.llm.jaccard import mix
 
 RATE, SEED, LONG = 0.1, 17, 40
-#: Agendas that a task remembers.
-REMEMBERED = 1_000_000
+#: Agendas that a task remembers (about 0.7 KB each), for digests and for whole documents, whose task holds the batch and its pieces besides.
+REMEMBERED, REMEMBERED_BESIDE = 1_000_000, 50_000
 _SPACE, _LITERAL = "▁", ""
 _PART = re.compile("▁*[^▁]+|▁+")
 
@@ -199,8 +199,9 @@ class Pieces:
 class Encoder:
     """Encodes texts; remembers the agendas it has met."""
 
-    def __init__(self, path: str, rate: float = RATE, seed: int = SEED, long: int = LONG):
+    def __init__(self, path: str, rate: float = RATE, seed: int = SEED, long: int = LONG, remembered: int = REMEMBERED):
         self.model, self.seed, self.long, self.limit = Pieces(path), seed, long, int(rate * 2**53) << 11
+        self.remembered = remembered
         self.forget()
 
     def forget(self) -> None:
@@ -249,7 +250,7 @@ class Encoder:
                 split.append(row)
             else:
                 split.append(_PART.findall(_SPACE + t.replace(" ", _SPACE)))
-        if len(self.out) > REMEMBERED:
+        if len(self.out) > self.remembered:
             self.forget()
         flat = [w for row in split for w in row]
         every = set(flat)
@@ -277,8 +278,8 @@ def encode_documents(docs: DataFrame, path: str, rate: float = RATE, seed: int =
     at, id_at = names.index("text"), names.index("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, rate, seed)
-        for batch in slices(batches, at, 2 << 20):
+        encoder = Encoder(path, rate, seed, remembered=REMEMBERED_BESIDE)
+        for batch in slices(batches, at, 1 << 19):
             coded = encoder.encode(batch.column(at).to_pylist(), batch.column(id_at).to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(c or b"") // 4 for c in coded])]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(c or b"" for c in coded), "<i4"))

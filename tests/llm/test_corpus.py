@@ -144,6 +144,29 @@ def test_suffix_large_group(spark, monkeypatch):
         assert got[i] == ",".join(f"{a}:{b}" for a, b in zip(edge[::2], edge[1::2], strict=True))
 
 
+def test_suffix_large_groups_stay_where_they_are(spark, monkeypatch):
+    """The quarters of large groups are picked out without shuffling the others."""
+    plans = []
+
+    def spy(quarters, length, scratch):
+        plans.append(quarters._jdf.queryExecution().toString())
+        return counted(quarters, length, scratch)
+
+    counted = suffix._counted
+    monkeypatch.setattr(suffix, "JOINED", 2000)
+    monkeypatch.setattr(suffix, "_counted", spy)
+    random.seed(5)
+    noise = lambda n: "".join(random.choice("abcdefghij ") for _ in range(n))
+    passage, limit = noise(420), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, noise(90) + passage + noise(90), "en") for i in range(30)]
+        got = suffix.remove_repeats(table(spark, rows)).select("n_removed").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans and "hashpartitioning" not in plans[0] and min(r.n_removed for r in got) >= 420
+
+
 def test_fingerprint(spark, odd):
     rows = [(i, t, lang) for i, t, lang in odd[0] if i is not None and i not in (4, 5)]
     rows.append((50, "\n".join(f"line {i}" for i in range(2000)), "en"))

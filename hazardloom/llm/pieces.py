@@ -9,8 +9,8 @@ with rate 0 the result is the library's own segmentation.
 Agendas are shared, draws are not: a remembered agenda is a part, the merges skipped so far and the merges taken
 after that. An occurrence draws for the taken ones in order; at its first skipped one it goes on with the agenda
 that skips this one too. Agendas not met yet take over the merges up to the skip and merge on side by side, one step
-each per round. Parts of over `LONG`
-characters, whose agendas hardly ever repeat, go through a heap instead, by the same draws: n log n in their length.
+each per round. Parts of over `LONG` characters, whose agendas hardly ever repeat, go through a heap instead, by the
+same draws: n log n in their length.
 
 Characters outside the vocabulary, and a literal U+2581 of the text, become byte pieces, so decoding gives back
 every text exactly. Defined results: a null text gives null, an empty one no pieces; rows that repeat an id and a
